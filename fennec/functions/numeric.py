@@ -6,8 +6,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-POS_INF = F.lit(float("inf"))
-NEG_INF = F.lit(float("-inf"))
+
+
+def _pos_inf() -> Column:
+    return F.lit(float("inf"))
+
+
+def _neg_inf() -> Column:
+    return F.lit(float("-inf"))
 
 
 def ieee_divide(a: Column, b: Column) -> Column:
@@ -20,8 +26,8 @@ def ieee_divide(a: Column, b: Column) -> Column:
     return (
         F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
         .when(b != 0, a / b)
-        .when(a > 0, POS_INF)
-        .when(a < 0, NEG_INF)
+        .when(a > 0, _pos_inf())
+        .when(a < 0, _neg_inf())
         .otherwise(F.lit(None).cast("double"))
     )
 
@@ -29,7 +35,7 @@ def ieee_divide(a: Column, b: Column) -> Column:
 def finite_or_zero(c: Column) -> Column:
     """NULL -> 0 and +-inf -> 0 (the ``fillna(0).replace([inf,-inf], 0)`` rule)."""
     d = c.cast("double")
-    return F.when(d.isNull() | F.isnan(d) | (F.abs(d) == POS_INF), F.lit(0.0)).otherwise(d)
+    return F.when(d.isNull() | F.isnan(d) | (F.abs(d) == _pos_inf()), F.lit(0.0)).otherwise(d)
 
 
 def missing_indicator(c: Column) -> Column:
