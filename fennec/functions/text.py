@@ -82,13 +82,31 @@ def drop_stop_words(tokens: Column, stop_words: tuple[str, ...] | list[str]) ->
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """Space-joined word n-grams of exactly ``n`` tokens ([] when too short)."""
+    """Space-joined word n-grams of exactly ``n`` tokens ([] when too short).
+
+    Built by zipping ``n`` shifted slices, so the lambdas only see their own
+    arguments: the token array is evaluated a fixed number of times per row,
+    never once per position, whatever the optimizer inlines.
+    """
     if n == 1:
         return tokens
-    grams = F.transform(F.sequence(F.lit(0), F.size(tokens) - F.lit(n)), lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
+    m = F.size(tokens) - F.lit(n - 1)
+    shifted = [F.slice(tokens, k + 1, F.greatest(m, F.lit(0))) for k in range(n)]
+    acc = shifted[0]
+    for nxt in shifted[1:]:
+        acc = F.zip_with(acc, nxt, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(m > 0, acc).otherwise(F.array().cast("array<string>"))
 
 
 def ngram_range(tokens: Column, lo: int, hi: int) -> Column:
     parts = [ngrams(tokens, n) for n in range(lo, hi + 1)]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def explode_terms(arr: Column) -> Column:
+    """``explode_outer`` (callers drop the NULL row of an empty array).
+
+    A plain ``explode`` makes the optimizer infer a ``size(arr) > 0`` filter
+    and push it below the projections, which re-evaluates the whole analysis
+    chain inside that filter."""
+    return F.explode_outer(arr)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import drop_stop_words, english_stop_words, ngram_range, word_tokens
+from ..functions.text import drop_stop_words, english_stop_words, explode_terms, ngram_range, word_tokens
 
 
 @dataclass
@@ -46,23 +46,34 @@ class TfidfVectorizer:
         stop = self._stop()
         return drop_stop_words(toks, stop) if stop else toks
 
-    def exploded_terms(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        """``(_id, term)``, one row per n-gram occurrence.
+    def _bound(self, v: int | float, n: Column) -> Column:
+        return F.lit(v).cast("double") if isinstance(v, int) else F.lit(float(v)) * n
+
+    def grams(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """``(_id, _grams)``: the n-gram array of every document.
 
         Tokens are projected first and the n-grams built over that column, so
         the tokenizer runs once per document (a lambda over an expression would
         re-run it for every n-gram position).
         """
         toks = df.select(F.col(id_col).alias("_id"), self.tokens(F.col(text_col)).alias("_toks"))
-        return toks.select("_id", F.explode(ngram_range(F.col("_toks"), *self.ngram_range)).alias("term"))
-
-    def _bound(self, v: int | float, n: Column) -> Column:
-        return F.lit(v).cast("double") if isinstance(v, int) else F.lit(float(v)) * n
+        return toks.select("_id", ngram_range(F.col("_toks"), *self.ngram_range).alias("_grams"))
 
     def fit(self, df: DataFrame, id_col: str, text_col: str) -> "TfidfModel":
+        """Document frequency and total count per term in ONE term-keyed
+        aggregation: every occurrence (tag 0) and every distinct term of a
+        document (tag 1, ``array_distinct`` inside the row) are unioned and
+        counted (two narrow branches; cheaper than one array of structs).  Map-side partial aggregation collapses repeats before the
+        shuffle, so the shuffle carries distinct terms per task, never
+        (document, term) pairs."""
+        g = self.grams(df, id_col, text_col)
         n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-        tf = self.exploded_terms(df, id_col, text_col).groupBy("_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-        dfs = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total_tf"))
+        occ = g.select(explode_terms(F.col("_grams")).alias("term"), F.lit(0).alias("_tag"))
+        first = g.select(explode_terms(F.array_distinct("_grams")).alias("term"), F.lit(1).alias("_tag"))
+        rows = occ.unionByName(first).where(F.col("term").isNotNull())
+        dfs = rows.groupBy("term").agg(
+            F.count_if(F.col("_tag") == 1).alias("df"), F.count_if(F.col("_tag") == 0).alias("total_tf")
+        )
         dfs = dfs.withColumn("_n", n_docs)
         kept = dfs.where((F.col("df") >= self._bound(self.min_df, F.col("_n"))) & (F.col("df") <= self._bound(self.max_df, F.col("_n"))))
         if self.max_features is not None:
@@ -88,6 +99,7 @@ class TfidfModel:
             rows = self.vocab.collect()
             spark = self.vocab.sparkSession
             self.vocab = spark.createDataFrame(rows, self.vocab.schema)
+            self._rows = rows
             self._size = len(rows)
         else:
             self.vocab = self.vocab.checkpoint(eager=True)
@@ -99,11 +111,20 @@ class TfidfModel:
         return F.broadcast(v) if self.bounded else v
 
     def transform_long(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        """``(id, idx, term, weight)`` for the non-zero entries; V8-V11."""
+        """``(id, idx, term, weight)`` for the non-zero entries; V8-V11.
+
+        With a bounded vocabulary the n-grams are filtered against it inside
+        the row (a hash-set membership test) before anything is exploded, so
+        only vocabulary hits reach the (document, term) count."""
         p = self.params
-        terms = p.exploded_terms(df, id_col, text_col)
-        terms = terms.join(self._vocab("term"), "term", "left_semi")
-        tf = terms.groupBy("_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+        g = p.grams(df, id_col, text_col)
+        if self.bounded:
+            terms = [r["term"] for r in self._rows]
+            hits = g.select("_id", explode_terms(F.filter("_grams", lambda x: x.isin(terms))).alias("term"))
+        else:
+            hits = g.select("_id", explode_terms(F.col("_grams")).alias("term")).join(self._vocab("term"), "term", "left_semi")
+        hits = hits.where(F.col("term").isNotNull())
+        tf = hits.groupBy("_id", "term").agg(F.count(F.lit(1)).alias("tf"))
         w_tf = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) if p.sublinear_tf else F.col("tf").cast("double")
         w = tf.join(self._vocab("term", "idx", "idf"), "term").select("_id", "idx", "term", (w_tf * F.col("idf")).alias("w"))
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("_id")))
