@@ -2,8 +2,10 @@
 
 Quartiles are exact and interpolated (MLlib's RobustScaler uses approximate
 quantiles and does not centre by default, so it is not used).  All features
-are fitted in one aggregate; ``approx=True`` swaps in ``percentile_approx``
-for bounded memory on very large inputs.
+are fitted together in long form ``(feature, value)`` by the exact quantile
+operator, so no feature's values are gathered in one task; the fitted state is
+three numbers per feature, applied as literals.  ``approx=True`` uses
+``percentile_approx`` instead.
 """
 
 from __future__ import annotations
@@ -13,39 +15,40 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import column_quantiles
+
 
 @dataclass
 class RobustScalerModel:
     features: list[str]
-    quartiles: DataFrame  # one row; column f = array(q25, q50, q75)
+    quartiles: dict[str, list[float] | None]  # feature -> [q25, q50, q75]; at most len(features) numbers x 3
 
-    def table(self) -> DataFrame:
-        """``(feature, q25, q50, q75)`` long form of the fitted state."""
-        parts = [F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`")[0].alias("q25"), F.col(f"`{f}`")[1].alias("q50"), F.col(f"`{f}`")[2].alias("q75")) for f in self.features]
-        return self.quartiles.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
+    def table(self, spark) -> DataFrame:
+        """``(feature, q25, q50, q75)``: the fitted state as a table."""
+        rows = [(f, *(self.quartiles[f] or [None, None, None])) for f in self.features]
+        return spark.createDataFrame(rows, "feature string, q25 double, q50 double, q75 double")
 
     def transform(self, df: DataFrame) -> DataFrame:
-        q = self.quartiles.select(F.struct(*[F.col(f"`{f}`") for f in self.features]).alias("q")).scalar()
-        out = df.withColumn("_q", q)
         cols = {}
         for f in self.features:
-            qs = F.col("_q")[f]
-            iqr = qs[2] - qs[0]
-            scale = F.when(iqr == 0, F.lit(1.0)).otherwise(iqr)
-            cols[f] = (F.col(f"`{f}`").cast("double") - qs[1]) / scale
-        return out.withColumns(cols).drop("_q")
+            q = self.quartiles[f]
+            if q is None:
+                continue
+            iqr = q[2] - q[0]
+            scale = 1.0 if iqr == 0 else iqr
+            cols[f] = (F.col(f"`{f}`").cast("double") - F.lit(q[1])) / F.lit(scale)
+        return df.withColumns(cols)
 
 
 @dataclass
 class RobustScaler:
     features: list[str]
     approx: bool = False
+    quantiles: str | None = None
 
     def fit(self, df: DataFrame) -> RobustScalerModel:
         probs = [0.25, 0.5, 0.75]
-        aggs = []
-        for f in self.features:
-            c = F.col(f"`{f}`").cast("double")
-            q = F.percentile_approx(c, probs, 100_000) if self.approx else F.percentile(c, probs)
-            aggs.append(q.alias(f))
-        return RobustScalerModel(list(self.features), df.agg(*aggs))
+        if self.approx:
+            row = df.agg(*[F.percentile_approx(F.col(f"`{f}`").cast("double"), probs, 100_000).alias(f) for f in self.features]).first()
+            return RobustScalerModel(list(self.features), {f: row[f] for f in self.features})
+        return RobustScalerModel(list(self.features), column_quantiles(df, list(self.features), probs, self.quantiles))

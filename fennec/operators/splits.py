@@ -44,18 +44,15 @@ def stratified_folds(
 ) -> DataFrame:
     """``stratum`` = target quantile band (exact cut points), ``fold`` = hash fold.
 
-    The cut points are one global aggregate (``n_strata - 1`` numbers) used as
-    a scalar subquery; the stratum of a row is the number of cut points below
-    its target.  Folds are hash folds, so each stratum is split evenly in law.
+    The cut points are exact quantiles (``n_strata - 1`` numbers, applied as
+    literals); the stratum of a row is the number of cut points below its
+    target.  Folds are hash folds, so each stratum is split evenly in law.
     """
+    from .quantiles import column_quantiles
+
     probs = [i / n_strata for i in range(1, n_strata)]
-    cuts = df.agg(F.percentile(F.col(target), probs)).scalar()
+    cuts = column_quantiles(df, [target], probs)[target] or []
     y = F.col(target)
-    below = [F.when(F.element_at(F.col("_cuts"), i + 1) < y, 1).otherwise(0) for i in range(len(probs))]
-    stratum = sum(below[1:], below[0]).cast("int")
-    return (
-        df.withColumn("_cuts", cuts)
-        .withColumn("stratum", stratum)
-        .withColumn("fold", hash_fold(F.col(key), n_folds, seed))
-        .drop("_cuts")
-    )
+    below = [F.when(F.lit(c) < y, 1).otherwise(0) for c in cuts]
+    stratum = sum(below[1:], below[0]).cast("int") if below else F.lit(0)
+    return df.withColumn("stratum", stratum).withColumn("fold", hash_fold(F.col(key), n_folds, seed))

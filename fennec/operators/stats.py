@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import join_dim
+from .quantiles import column_medians, group_median
 
 
 def median_of(c: Column, approx: bool = False) -> Column:
@@ -30,29 +31,40 @@ def stat_columns(target: str, names: tuple[str, str, str, str], approx: bool = F
     ]
 
 
-def group_stats(df: DataFrame, key: str, target: str = "price", names=("mean", "median", "std", "cnt"), approx: bool = False) -> DataFrame:
-    """A1/A2: one row per category with the four statistics (partial aggregation, one shuffle)."""
-    return df.groupBy(key).agg(*stat_columns(target, names, approx))
+def group_stats(df: DataFrame, key: str | list[str], target: str = "price", names=("mean", "median", "std", "cnt"),
+                approx: bool = False, quantiles: str | None = None) -> DataFrame:
+    """A1/A2: one row per category with the four statistics.
 
+    Mean/std/count are one partial-aggregated shuffle; the exact median comes
+    from ``group_median`` (histogram refinement by default, so a hot category
+    is never gathered in one task).  Keys must be non-NULL.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    if approx or quantiles == "aggregate":
+        return df.groupBy(*keys).agg(*stat_columns(target, names, approx))
+    t = F.col(target).cast("double")
+    moments = df.groupBy(*keys).agg(F.avg(t).alias(names[0]), F.stddev_samp(t).alias(names[2]), F.count(t).alias(names[3]))
+    med = group_median(df, target, keys, names[1], quantiles)
+    return moments.join(med, keys, "left").select(*keys, *names)
 
-def global_stats(df: DataFrame, target: str = "price") -> DataFrame:
+
+def global_stats(df: DataFrame, target: str = "price", quantiles: str | None = None) -> DataFrame:
     """A3: one-row ``(global_mean, global_median)``."""
-    t = F.col(target).cast("double")
-    return df.agg(F.avg(t).alias("global_mean"), F.median(t).alias("global_median"))
+    med = column_medians(df, [target], quantiles)[target]
+    return df.agg(F.avg(F.col(target).cast("double")).alias("global_mean"), F.lit(med).cast("double").alias("global_median"))
 
 
-def fill_with_frame_median(df: DataFrame, cols: list[str]) -> DataFrame:
+def fill_with_frame_median(df: DataFrame, cols: list[str], quantiles: str | None = None) -> DataFrame:
     """NULL -> median of that column in the *current* frame.
 
-    The medians are one global aggregate used as scalar subqueries (no join).
+    The medians are computed once (exact, bounded per task) and applied as
+    literals: one number per column.
     """
     present = [c for c in cols if c in df.columns]
     if not present:
         return df
-    med = df.agg(F.struct(*[F.median(F.col(c)).alias(c) for c in present]).alias("m")).scalar()
-    out = df.withColumn("_med", med)
-    out = out.withColumns({c: F.coalesce(F.col(c), F.col("_med")[c]) for c in present})
-    return out.drop("_med")
+    med = column_medians(df, present, quantiles)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double")) if med[c] is not None else F.col(c) for c in present})
 
 
 def stats_names(key: str) -> tuple[str, str, str, str]:
@@ -87,7 +99,8 @@ class GroupStatsEncoder:
     keys: tuple[str, ...] = ("unit", "brand")
     target: str = "price"
     approx: bool = False
+    quantiles: str | None = None
 
     def fit(self, df: DataFrame) -> GroupStatsModel:
-        tables = {k: group_stats(df, k, self.target, stats_names(k), self.approx) for k in self.keys}
+        tables = {k: group_stats(df, k, self.target, stats_names(k), self.approx, self.quantiles) for k in self.keys}
         return GroupStatsModel(self.keys, tables)

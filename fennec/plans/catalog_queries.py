@@ -20,7 +20,8 @@ from ..operators import images as I
 from ..operators.label_encoder import LabelEncoder
 from ..operators.scaler import RobustScaler
 from ..operators.splits import hash_fold, holdout_flag, stratified_folds
-from ..operators.stats import GroupStatsEncoder, fill_with_frame_median, group_stats
+from ..operators.quantiles import column_medians
+from ..operators.stats import GroupStatsEncoder, fill_with_frame_median, global_stats, group_stats
 from ..operators.target_encoding import KFoldTargetEncoder, te_names
 from ..operators.tfidf import TfidfVectorizer
 from ..sources.catalog import catalog
@@ -154,7 +155,7 @@ SELECT sample_id, round(COALESCE(value, (SELECT median(value) FROM cat_a WHERE N
 FROM cat_a""")
 def q_impute_train_median(spark, sf):
     f = FA.extract(catalog(spark, sf, with_price=False))
-    med = f.where(~holdout_flag(F.col("sample_id"))).agg(F.median("value")).scalar()
+    med = F.lit(column_medians(f.where(~holdout_flag(F.col("sample_id"))), ["value"])["value"]).cast("double")
     return f.select("sample_id", r6(F.coalesce(F.col("value"), med)).alias("value_filled"),
                     F.col("value").isNull().cast("int").alias("value_missing"))
 
@@ -168,7 +169,7 @@ def q_impute_self(spark, sf):
     parts = []
     for h in (0, 1):
         part = f.where(F.col("is_holdout") == h)
-        med = part.agg(F.median("value")).scalar()
+        med = F.lit(column_medians(part, ["value"])["value"]).cast("double")
         parts.append(part.select("sample_id", "is_holdout", r6(F.coalesce(F.col("value"), med)).alias("value_filled")))
     return parts[0].unionByName(parts[1])
 
@@ -183,7 +184,7 @@ SELECT sample_id, round({O.ieee_divide('v', 'pack_qty')}, 6) AS value_per_pack,
 FROM f""")
 def q_numeric_transforms(spark, sf):
     f = FA.extract(catalog(spark, sf, with_price=False))
-    med = f.agg(F.median("value")).scalar()
+    med = F.lit(column_medians(f, ["value"])["value"]).cast("double")
     out = FA.impute_and_transform(f, med)
     return _rounded(out, ["sample_id"], _VT)
 
@@ -235,8 +236,8 @@ for _k, _n in (("unit", "group_stats_unit"), ("brand", "group_stats_brand"), ("p
 
 @register("global_stats", _with(CAT) + "SELECT round(avg(price), 6) AS global_mean, round(median(price), 6) AS global_median FROM catalog")
 def q_global_stats(spark, sf):
-    c = catalog(spark, sf)
-    return c.agg(r6(F.avg("price")).alias("global_mean"), r6(F.median("price")).alias("global_median"))
+    g = global_stats(catalog(spark, sf), "price")
+    return g.select(r6("global_mean").alias("global_mean"), r6("global_median").alias("global_median"))
 
 
 @register("group_mean_smape", _with(CAT, CAT_A, "s AS (SELECT unit, avg(price) AS m FROM cat_a GROUP BY unit)") + """
@@ -246,7 +247,7 @@ FROM cat_a JOIN s USING (unit)""")
 def q_group_mean_smape(spark, sf):
     """The minimum end-to-end slice: predict the unit group mean, score in-sample."""
     f = FA.extract(catalog(spark, sf))
-    s = group_stats(f, "unit", "price").select("unit", F.col("mean").alias("m"))
+    s = f.groupBy("unit").agg(F.avg("price").alias("m"))
     return f.join(s, "unit").agg(r6(F.lit(100.0) * F.avg(E.smape_term(F.col("price"), F.col("m")))).alias("smape"))
 
 
@@ -451,7 +452,7 @@ def q_robust_scale(spark, sf):
     f"SELECT '{c}' AS feature, quantile_cont({c}, [0.25, 0.5, 0.75]) AS q FROM lineitem" for c in _SC) + ")")
 def q_scaler_quartiles(spark, sf):
     li = table(spark, sf, "lineitem")
-    return _rounded(RobustScaler(_SC).fit(li).table(), ["feature"], ["q25", "q50", "q75"])
+    return _rounded(RobustScaler(_SC).fit(li).table(spark), ["feature"], ["q25", "q50", "q75"])
 
 
 # --- V: TF-IDF over documents --------------------------------------------------------
@@ -589,7 +590,7 @@ def catalog_predictions(spark, sf) -> DataFrame:
     f = FA.extract(catalog(spark, sf))
     out = f
     for k in ("unit", "brand", "pack_qty"):
-        out = out.join(group_stats(f, k, "price").select(k, F.col("mean").alias(f"m_{k}")), k, "left")
+        out = out.join(f.groupBy(k).agg(F.avg("price").alias(f"m_{k}")), k, "left")
     b = E.blend(F.col("m_unit"), F.col("m_brand"), F.col("m_pack_qty"))
     return out.select("sample_id", E.clamp(b).alias("price"))
 

@@ -18,6 +18,7 @@ from ..functions import extract as X
 from ..functions import measures as M
 from ..functions.flags import default_rules, flag_columns
 from ..functions.numeric import interactions, missing_indicator, value_transforms
+from ..operators.quantiles import column_medians
 from ..operators.target_encoding import KFoldTargetEncoder, KFoldTargetEncoderModel
 
 # The numeric feature list of variant A, in order.
@@ -119,7 +120,8 @@ class AdvancedFeatures:
 
     def fit_transform(self, train: DataFrame) -> tuple[DataFrame, AdvancedFeaturesModel]:
         extracted = extract(train, self.text_col)
-        vm = extracted.agg(F.median("value").alias("value_median"))
+        vmed = column_medians(extracted, ["value"])["value"]
+        vm = train.sparkSession.createDataFrame([(vmed,)], "value_median double")
         enc = KFoldTargetEncoder(ENCODED_COLS, self.target, self.key, self.n_folds, self.seed, self.smoothing, self.approx_median)
         # encoder statistics only need the three keys and the target
         model = AdvancedFeaturesModel(self.text_col, self.rules, vm, enc.fit(extracted.select(*ENCODED_COLS, self.target)))

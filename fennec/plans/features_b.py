@@ -16,6 +16,7 @@ from ..functions import measures as M
 from ..functions.numeric import ieee_divide
 from ..operators.assemble import align_columns, clean_median
 from ..operators.label_encoder import LabelEncoder, LabelEncoderModel
+from ..operators.quantiles import column_medians
 from ..operators.stats import GroupStatsEncoder, GroupStatsModel
 from ..operators.tfidf import TfidfModel, TfidfVectorizer
 
@@ -43,8 +44,8 @@ def extract_catalog_features(df: DataFrame, text_col: str = "catalog_content") -
             "pack_quantity": X.pack_quantity(c, "B"),
         }
     )
-    med = out.agg(F.median("value")).scalar()
-    return out.withColumn("value_filled", F.coalesce(F.col("value"), med))
+    med = column_medians(out, ["value"])["value"]
+    return out.withColumn("value_filled", F.coalesce(F.col("value"), F.lit(med).cast("double")))
 
 
 def create_ratio_features(df: DataFrame) -> DataFrame:
