@@ -24,9 +24,12 @@ def hash_fold(key: Column, n_folds: int = 5, seed: int = DEFAULT_SEED) -> Column
     return (key_hash(key, f":{seed}") % F.lit(n_folds)).cast("int")
 
 
-def holdout_flag(key: Column, test_size: float = 0.12, seed: int = DEFAULT_SEED) -> Column:
-    """C4: True for the hold-out share ``test_size`` (resolution 1/10000)."""
-    bucket = key_hash(key, f":split:{seed}") % F.lit(10000)
+def holdout_flag(key: Column, test_size: float = 0.12, seed: int = DEFAULT_SEED, purpose: str = "split") -> Column:
+    """C4: True for the hold-out share ``test_size`` (resolution 1/10000).
+
+    ``purpose`` salts the hash, so nested splits (a validation split inside a
+    training split) are independent of each other."""
+    bucket = key_hash(key, f":{purpose}:{seed}") % F.lit(10000)
     return bucket < F.lit(int(round(test_size * 10000)))
 
 
@@ -34,8 +37,9 @@ def with_folds(df: DataFrame, key: str, n_folds: int = 5, seed: int = DEFAULT_SE
     return df.withColumn(name, hash_fold(F.col(key), n_folds, seed))
 
 
-def train_test_split(df: DataFrame, key: str, test_size: float = 0.12, seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
-    flag = holdout_flag(F.col(key), test_size, seed)
+def train_test_split(df: DataFrame, key: str, test_size: float = 0.12, seed: int = DEFAULT_SEED,
+                     purpose: str = "split") -> tuple[DataFrame, DataFrame]:
+    flag = holdout_flag(F.col(key), test_size, seed, purpose)
     return df.where(~flag), df.where(flag)
 
 

@@ -628,3 +628,153 @@ SELECT min(url) AS image_link, regexp_extract(url, '([^/]+)/*$', 1) AS filename,
 FROM pages WHERE url IS NOT NULL GROUP BY regexp_extract(url, '([^/]+)/*$', 1)""")
 def q_image_manifest(spark, sf):
     return I.manifest(table(spark, sf, "pages"), "url")
+
+
+# --- S1 / S4: product CSV round trip ---------------------------------------------------------
+
+@register("csv_roundtrip", _with(CAT) + "SELECT sample_id, catalog_content, image_link, round(price, 6) AS price FROM catalog")
+def q_csv_roundtrip(spark, sf):
+    """Write the catalog as product CSV (multi-line quoted text) into the
+    shared checkpoint folder and read it back with the product reader."""
+    from ..session import scratch_path
+    from ..sources.files import read_products, write_products
+
+    path = scratch_path(spark, "catalog_csv")
+    write_products(catalog(spark, sf), path)
+    back = read_products(spark, path)
+    return back.select("sample_id", "catalog_content", "image_link", r6("price").alias("price"))
+
+
+# --- P1: the whole variant A feature frame ------------------------------------------------------
+
+_FLAG_COLS = [f"has_{k}" for k in PREMIUM_KEYWORDS] + [f"cat_{k}" for k in CATEGORIES]
+_A_INT = {"value_missing", "pack_qty", "catalog_length", "name_length", "word_count", "unique_words", "bullet_points",
+          "special_chars", "digit_count", "uppercase_count", "unit_count", "brand_count", "pack_qty_count"}
+
+
+def _a_frame_out(df):
+    cols = FA.NUMERIC_COLS + _FLAG_COLS
+    return df.select("sample_id", *[F.col(c) if (c in _A_INT or c in _FLAG_COLS) else r6(c).alias(c) for c in cols])
+
+
+def _a_frame_sql(train: bool) -> str:
+    ctes = [CAT, CAT_A]
+    if train:
+        ctes += [f"fo AS (SELECT *, {O.fold('sample_id')} AS fold FROM cat_a)", "hs AS (SELECT * FROM range(5) t(h))",
+                 "rep AS (SELECT hs.h, fo.* FROM fo JOIN hs ON fo.fold <> hs.h)",
+                 "gm AS (SELECT h, avg(price) AS g FROM rep GROUP BY h)",
+                 "vm AS (SELECT median(value) AS vm FROM cat_a)", "gall AS (SELECT avg(price) AS gm FROM cat_a)"]
+        src, on_fold = "fo", True
+    else:
+        ctes += [f"tr AS (SELECT * FROM cat_a WHERE NOT {HOLD})", f"te AS (SELECT * FROM cat_a WHERE {HOLD})",
+                 "g AS (SELECT avg(price) AS gm, median(price) AS gmed FROM tr)", "vm AS (SELECT median(value) AS vm FROM tr)",
+                 "gall AS (SELECT gm FROM g)"]
+        src, on_fold = "te", False
+    sel, joins = [], []
+    for c in FA.ENCODED_COLS:
+        grp = "h, " if on_fold else ""
+        frm = "rep" if on_fold else "tr"
+        ctes.append(f"st_{c} AS (SELECT {grp}CAST({c} AS VARCHAR) AS cat, avg(price) AS m, median(price) AS md, "
+                    f"stddev_samp(price) AS sd, count(price) AS n FROM {frm} GROUP BY {grp}CAST({c} AS VARCHAR))")
+        cond = f"st_{c}.h = {src}.fold AND " if on_fold else ""
+        joins.append(f"LEFT JOIN st_{c} ON {cond}st_{c}.cat = CAST({src}.{c} AS VARCHAR)")
+        mean, med, std, cnt = te_names(c)
+        if on_fold:
+            sel += [f"COALESCE((st_{c}.m * st_{c}.n + gm.g * 10.0) / (st_{c}.n + 10.0), 0.0) AS {mean}",
+                    f"COALESCE(st_{c}.md, 0.0) AS {med}"]
+        else:
+            sel += [f"CASE WHEN st_{c}.n IS NULL THEN g.gm ELSE (st_{c}.m * st_{c}.n + g.gm * 10.0) / (st_{c}.n + 10.0) END AS {mean}",
+                    f"CASE WHEN st_{c}.n IS NULL THEN g.gmed ELSE st_{c}.md END AS {med}"]
+        sel += [f"COALESCE(st_{c}.sd, 0.0) AS {std}", f"CAST(COALESCE(st_{c}.n, 0) AS BIGINT) AS {cnt}"]
+    extra = "LEFT JOIN gm ON gm.h = fo.fold " if on_fold else ", g "
+    ctes.append(f"enc AS (SELECT {src}.*, " + ", ".join(sel) + f" FROM {src} {extra}" + " ".join(joins) + ")")
+    ctes.append("x AS (SELECT enc.*, COALESCE(enc.value, vm.vm) AS v, gall.gm AS gmean FROM enc, vm, gall)")
+    out = {
+        "value_filled": "v", "value_missing": "CAST(value IS NULL AS INTEGER)", "pack_qty": "pack_qty",
+        "catalog_length": "catalog_length", "name_length": "name_length", "word_count": "word_count",
+        "unique_words": "unique_words", "avg_word_length": "avg_word_length", "unique_ratio": "unique_ratio",
+        "bullet_points": "bullet_points", "special_chars": "special_chars", "digit_count": "digit_count",
+        "uppercase_count": "uppercase_count", "value_per_pack": O.ieee_divide("v", "pack_qty"),
+        "value_squared": "v * v", "value_log": "ln(1 + v)", "value_sqrt": "sqrt(v)", "value_cubed": "v * v * v",
+        "pack_value_interaction": "pack_qty * v",
+    }
+    for c in FA.ENCODED_COLS:
+        for n in te_names(c):
+            out[n] = n
+    out.update({
+        "value_x_unit_mean": "v * unit_mean_price", "brand_x_unit_mean": "brand_mean_price * unit_mean_price",
+        "pack_x_value": "pack_qty * v", "value_x_brand": "v * brand_mean_price",
+        "unit_brand_interaction": "unit_mean_price * brand_mean_price",
+        "estimated_unit_price": O.ieee_divide("unit_mean_price", "v + 1"),
+        "estimated_brand_premium": O.ieee_divide("brand_mean_price", "gmean + 1"),
+        "brand_to_unit_ratio": O.ieee_divide("brand_mean_price", "unit_mean_price + 1"),
+        "value_to_pack_ratio": O.ieee_divide("v", "pack_qty + 1"),
+    })
+    cols = [f"{out[c]} AS {c}" if (c in _A_INT) else f"round({out[c]}, 6) AS {c}" for c in FA.NUMERIC_COLS]
+    cols += _FLAG_COLS
+    return _with(*ctes) + "SELECT sample_id, " + ", ".join(cols) + " FROM x"
+
+
+@register("features_a_train", _a_frame_sql(True))
+def q_features_a_train(spark, sf):
+    feats, _ = FA.AdvancedFeatures().fit_transform(catalog(spark, sf))
+    return _a_frame_out(feats)
+
+
+@register("features_a_test", _a_frame_sql(False))
+def q_features_a_test(spark, sf):
+    cat = catalog(spark, sf)
+    h = holdout_flag(F.col("sample_id"))
+    _, model = FA.AdvancedFeatures().fit_transform(cat.where(~h))
+    return _a_frame_out(model.transform(cat.where(h).drop("price")))
+
+
+# --- P2-P5, P9, P10: the variant B matrix (without TF-IDF) ------------------------------------------
+
+_B_INT = {"item_name_length", "item_name_word_count", "catalog_length", "unit_encoded", "brand_encoded"}
+
+
+def _b_matrix_sql() -> str:
+    b8 = _b8_sql("true", "true")
+    head, _ = b8.rsplit("\nSELECT sample_id,", 1) if "\nSELECT sample_id," in b8 else b8.rsplit("SELECT sample_id,", 1)
+    ctes = [head[len("WITH "):]]
+    for c in ("unit", "brand"):
+        ctes.append(f"codes_{c} AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code "
+                    f"FROM (SELECT DISTINCT COALESCE({c}, 'Unknown') AS v FROM cat_b))")
+    ctes.append(
+        "m AS (SELECT b.sample_id, b.value_filled, b.pack_quantity, b.catalog_length, b.item_name_length, b.item_name_word_count, "
+        f"{O.ieee_divide('b.value_filled', 'b.pack_quantity')} AS value_pack_ratio, "
+        "CAST(b.item_name_length AS DOUBLE) / CAST(b.item_name_word_count + 1 AS DOUBLE) AS avg_word_length, "
+        "COALESCE(cu.code, -1) AS unit_encoded, COALESCE(cb.code, -1) AS brand_encoded, "
+        + ", ".join(f"CAST(j.{c} AS DOUBLE) AS {c}" for c in _B8)
+        + " FROM cat_b b JOIN j USING (sample_id) LEFT JOIN codes_unit cu ON cu.v = COALESCE(b.unit, 'Unknown') "
+        "LEFT JOIN codes_brand cb ON cb.v = COALESCE(b.brand, 'Unknown'))"
+    )
+    filled = []
+    for c in FB.BASE_FEATURES:
+        e = f"COALESCE({c}, (SELECT median({c}) FROM m))"
+        filled.append(f"{e} AS {c}" if c in _B_INT else f"round({e}, 6) AS {c}")
+    return "WITH " + ",\n".join(ctes) + "\nSELECT sample_id, " + ", ".join(filled) + " FROM m"
+
+
+@register("features_b_matrix", _b_matrix_sql())
+def q_features_b_matrix(spark, sf):
+    ex = FB.ProductFeatureExtractor()
+    feats = ex.fit_transform(catalog(spark, sf), use_tfidf=False)
+    names = ex.get_feature_names(use_tfidf=False)
+    from ..operators.assemble import align_columns, clean_median
+
+    X = clean_median(align_columns(feats, names, keep=["sample_id"]), names)
+    return X.select("sample_id", *[F.col(c) if c in _B_INT else r6(c).alias(c) for c in names])
+
+
+@register("tfidf_item_names", "WITH " + CAT + ",\n" + O.extract_b_cte() + ",\n" + O.tfidf_vocab_sql(
+    "cat_b", "sample_id", "item_name", 100, (1, 2), 5, 1.0, False, True)
+    + """,
+w AS (SELECT tf._id AS sample_id, vocab.idx, tf.tf * vocab.idf AS w FROM tf JOIN vocab USING (term))
+SELECT sample_id, idx, round(w / sqrt(sum(w * w) OVER (PARTITION BY sample_id)), 6) AS weight FROM w""")
+def q_tfidf_item_names(spark, sf):
+    """V1-V12 as variant B applies them: TF-IDF of the extracted item names."""
+    f = FB.extract_catalog_features(catalog(spark, sf, with_price=False))
+    m = TfidfVectorizer(**TFIDF_B).fit(f, "sample_id", "item_name")
+    return m.transform_long(f, "sample_id", "item_name").select("sample_id", "idx", r6("weight").alias("weight"))
