@@ -48,6 +48,11 @@ def group_stats(df: DataFrame, key: str | list[str], target: str = "price", name
     return moments.join(med, keys, "left").select(*keys, *names)
 
 
+def distinct_values(df: DataFrame, col: str) -> DataFrame:
+    """A4: the distinct categories of a column (one partial-aggregated shuffle)."""
+    return df.select(col).distinct()
+
+
 def global_stats(df: DataFrame, target: str = "price", quantiles: str | None = None) -> DataFrame:
     """A3: one-row ``(global_mean, global_median)``."""
     med = column_medians(df, [target], quantiles)[target]
@@ -102,5 +107,8 @@ class GroupStatsEncoder:
     quantiles: str | None = None
 
     def fit(self, df: DataFrame) -> GroupStatsModel:
-        tables = {k: group_stats(df, k, self.target, stats_names(k), self.approx, self.quantiles) for k in self.keys}
+        from ..sources.files import materialize
+
+        narrow = materialize(df.select(*self.keys, self.target), "group_stats_fit")
+        tables = {k: group_stats(narrow, k, self.target, stats_names(k), self.approx, self.quantiles) for k in self.keys}
         return GroupStatsModel(self.keys, tables)

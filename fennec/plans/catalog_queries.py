@@ -778,3 +778,27 @@ def q_tfidf_item_names(spark, sf):
     f = FB.extract_catalog_features(catalog(spark, sf, with_price=False))
     m = TfidfVectorizer(**TFIDF_B).fit(f, "sample_id", "item_name")
     return m.transform_long(f, "sample_id", "item_name").select("sample_id", "idx", r6("weight").alias("weight"))
+
+
+# --- P4 ratio features and A4 category list ---------------------------------------------------------
+
+@register("ratio_features", _with(CAT, CAT_B) + f"""
+SELECT sample_id, round({O.ieee_divide('value_filled', 'pack_quantity')}, 6) AS value_pack_ratio,
+       round(CAST(item_name_length AS DOUBLE) / CAST(item_name_word_count + 1 AS DOUBLE), 6) AS avg_word_length,
+       concat_ws('_', unit, brand) AS unit_brand
+FROM cat_b""")
+def q_ratio_features(spark, sf):
+    f = FB.create_ratio_features(FB.extract_catalog_features(catalog(spark, sf, with_price=False)))
+    return f.select("sample_id", r6("value_pack_ratio").alias("value_pack_ratio"), r6("avg_word_length").alias("avg_word_length"), "unit_brand")
+
+
+@register("category_values", _with(CAT, CAT_A) + """
+SELECT 'unit' AS col, unit AS cat FROM (SELECT DISTINCT unit FROM cat_a)
+UNION ALL SELECT 'brand', brand FROM (SELECT DISTINCT brand FROM cat_a)
+UNION ALL SELECT 'pack_qty', CAST(pack_qty AS VARCHAR) FROM (SELECT DISTINCT pack_qty FROM cat_a)""")
+def q_category_values(spark, sf):
+    from ..operators.stats import distinct_values
+
+    f = FA.extract(catalog(spark, sf, with_price=False))
+    parts = [distinct_values(f, c).select(F.lit(c).alias("col"), F.col(c).cast("string").alias("cat")) for c in FA.ENCODED_COLS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

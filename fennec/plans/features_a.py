@@ -19,6 +19,7 @@ from ..functions import measures as M
 from ..functions.flags import default_rules, flag_columns
 from ..functions.numeric import interactions, missing_indicator, value_transforms
 from ..operators.quantiles import column_medians
+from ..sources.files import materialize
 from ..operators.target_encoding import KFoldTargetEncoder, KFoldTargetEncoderModel
 
 # The numeric feature list of variant A, in order.
@@ -119,13 +120,14 @@ class AdvancedFeatures:
     approx_median: bool = False
 
     def fit_transform(self, train: DataFrame) -> tuple[DataFrame, AdvancedFeaturesModel]:
-        extracted = extract(train, self.text_col)
+        # fitted statistics only need narrow columns: extract once, write once
+        extracted = materialize(extract(train, self.text_col).select(self.key, self.target, "value", *ENCODED_COLS), "features_a_fit")
         vmed = column_medians(extracted, ["value"])["value"]
         vm = train.sparkSession.createDataFrame([(vmed,)], "value_median double")
         enc = KFoldTargetEncoder(ENCODED_COLS, self.target, self.key, self.n_folds, self.seed, self.smoothing, self.approx_median)
         # encoder statistics only need the three keys and the target
         model = AdvancedFeaturesModel(self.text_col, self.rules, vm, enc.fit(extracted.select(*ENCODED_COLS, self.target)))
-        base = model._base(train)
-        oof, _ = enc.fit_transform(base)
+        stats, fold_means = enc.oof_stats(extracted)
+        oof = enc.apply_oof(model._base(train), stats, fold_means)
         gm = model.encoder.scalars.select("global_mean").scalar()
         return add_interactions(oof.drop("fold"), gm), model

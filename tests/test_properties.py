@@ -124,3 +124,13 @@ def test_transform_deterministic(spark):
     # out-of-fold (train) and lookup (transform) encodings differ on the same rows
     c = sorted(map(tuple, feats.select("sample_id", "unit_mean_price").collect()))
     assert a != c
+
+
+def test_align_columns_adds_zero_columns(spark):
+    from fennec.operators.assemble import align_columns, by_prefix
+
+    df = spark.createDataFrame([(1, 2.0, 1)], "sample_id long, a double, has_x int")
+    out = align_columns(df, ["a", "missing", "has_x"], keep=["sample_id"])
+    assert out.columns == ["sample_id", "a", "missing", "has_x"]
+    assert out.first().missing == 0
+    assert by_prefix(df, ("has_",)) == ["has_x"]
