@@ -221,7 +221,7 @@ def tfidf_vocab_sql(src: str, id_col: str, text_col: str, max_features: int, ngr
         tfidf_terms_cte(src, id_col, text_col, ngram, strip_accents, stop) + ",\n"
         f"ndocs AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {src}),\n"
         "tf AS (SELECT _id, term, count(*) AS tf FROM terms GROUP BY _id, term),\n"
-        "dfs AS (SELECT term, count(*) AS df, sum(tf) AS total_tf FROM tf GROUP BY term),\n"
+        "dfs AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total_tf FROM tf GROUP BY term),\n"
         f"kept AS (SELECT term, df, total_tf FROM dfs, ndocs WHERE df >= {lo} AND df <= {hi} ORDER BY total_tf DESC, term ASC LIMIT {max_features}),\n"
         "vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, df, total_tf, "
         "ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM kept, ndocs)"
