@@ -56,9 +56,13 @@ def exact_quantiles(
     small: int = DEFAULT_SMALL,
     max_rounds: int = 64,
     out: str = "q",
+    write_input: bool = True,
 ) -> DataFrame:
     """``(keys..., out)`` with ``out`` = array of the exact interpolated
-    quantiles at ``probs`` (NULL values are skipped; empty groups are absent)."""
+    quantiles at ``probs`` (NULL values are skipped; empty groups are absent).
+
+    ``write_input=False`` when ``df`` is already a cheap scan of a written
+    table: refinement rounds then re-read it instead of writing a copy."""
     keys = list(keys)
     if not keys:
         df = df.withColumn("_g", F.lit(0))
@@ -77,16 +81,17 @@ def exact_quantiles(
     big = base.where(F.col("_n") > F.lit(small))
     if big.count() == 0:
         return small_res.drop("_g") if not keys else small_res
-    big_res = _refine(vals.join(big.select(*gkeys), gkeys, "left_semi"), big, gkeys, probs, bins, small, max_rounds, out)
+    big_res = _refine(vals.join(big.select(*gkeys), gkeys, "left_semi"), big, gkeys, probs, bins, small, max_rounds, out, write_input)
     res = small_res.unionByName(big_res)
     return res.drop("_g") if not keys else res
 
 
 def _refine(vals: DataFrame, base: DataFrame, gkeys: list[str], probs: list[float], bins: int, small: int,
-            max_rounds: int, out: str) -> DataFrame:
+            max_rounds: int, out: str, write_input: bool = True) -> DataFrame:
     """Histogram refinement for the groups in ``base`` (``_n``, ``_a``, ``_b``)."""
-    # every round re-reads the values: write the narrow (keys, value) input once
-    vals = _cut(vals)
+    if write_input:
+        # every round re-reads the values: write the narrow (keys, value) input once
+        vals = _cut(vals)
     pos = [F.struct(F.lit(i).alias("__pi"), ((F.col("_n") - 1).cast("double") * F.lit(float(p))).alias("__h")) for i, p in enumerate(probs)]
     targets = base.select(*gkeys, "_n", "_a", "_b", F.explode(F.array(*pos)).alias("__t")).select(
         *gkeys, "_a", "_b", F.col("__t.__pi").alias("__pi"), F.col("__t.__h").alias("__h")
