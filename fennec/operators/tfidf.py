@@ -59,23 +59,55 @@ class TfidfVectorizer:
         toks = df.select(F.col(id_col).alias("_id"), self.tokens(F.col(text_col)).alias("_toks"))
         return toks.select("_id", ngram_range(F.col("_toks"), *self.ngram_range).alias("_grams"))
 
+    @staticmethod
+    def _term_stats(arrays: DataFrame, col: str) -> DataFrame:
+        """``(term, df, total_tf)`` in ONE term-keyed aggregation: every
+        occurrence (tag 0) and every distinct term of a document (tag 1,
+        ``array_distinct`` inside the row) are unioned and counted.  Map-side
+        partial aggregation collapses repeats before the shuffle, so the
+        shuffle carries distinct terms per task, never (document, term) pairs."""
+        occ = arrays.select(explode_terms(F.col(col)).alias("term"), F.lit(0).alias("_tag"))
+        first = arrays.select(explode_terms(F.array_distinct(col)).alias("term"), F.lit(1).alias("_tag"))
+        rows = occ.unionByName(first).where(F.col("term").isNotNull())
+        return rows.groupBy("term").agg(F.count_if(F.col("_tag") == 1).alias("df"), F.count_if(F.col("_tag") == 0).alias("total_tf"))
+
+    def _eligible(self, stats: DataFrame, n_docs) -> DataFrame:
+        s = stats.withColumn("_n", n_docs)
+        return s.where((F.col("df") >= self._bound(self.min_df, F.col("_n"))) & (F.col("df") <= self._bound(self.max_df, F.col("_n"))))
+
+    def _pruned_stats(self, toks: DataFrame, n_docs) -> DataFrame | None:
+        """Exact pruning for a top-k vocabulary that includes unigrams.
+
+        Let L be the k-th largest count among eligible unigrams: k candidates
+        reach L, so the final threshold is at least L.  An n-gram occurs at
+        most as often as each of its tokens, so only n-grams made entirely of
+        tokens counted at least L times can qualify; all others are never
+        counted.  Returns None (count everything) when pruning does not apply
+        or the frequent-token set is too large to test inside rows."""
+        lo, hi = self.ngram_range
+        if self.max_features is None or lo != 1 or hi < 2:
+            return None
+        uni = _cut_small(self._term_stats(toks, "_toks"))
+        top = self._eligible(uni, n_docs).orderBy(F.desc("total_tf"), F.asc("term")).limit(self.max_features)
+        r = top.agg(F.count(F.lit(1)).alias("k"), F.min("total_tf").alias("L")).first()
+        if r["k"] < self.max_features or r["L"] is None or r["L"] <= 1:
+            return None
+        frequent = uni.where(F.col("total_tf") >= F.lit(r["L"])).select("term")
+        if frequent.count() > FREQUENT_TOKEN_LIMIT:
+            return None
+        keep = [x["term"] for x in frequent.collect()]
+        masked = toks.select(F.transform("_toks", lambda t: F.when(t.isin(keep), t)).alias("_m"))
+        grams = masked.select(F.filter(ngram_range(F.col("_m"), 2, hi), lambda x: x.isNotNull()).alias("_grams"))
+        return uni.unionByName(self._term_stats(grams, "_grams"))
+
     def fit(self, df: DataFrame, id_col: str, text_col: str) -> "TfidfModel":
-        """Document frequency and total count per term in ONE term-keyed
-        aggregation: every occurrence (tag 0) and every distinct term of a
-        document (tag 1, ``array_distinct`` inside the row) are unioned and
-        counted (two narrow branches; cheaper than one array of structs).  Map-side partial aggregation collapses repeats before the
-        shuffle, so the shuffle carries distinct terms per task, never
-        (document, term) pairs."""
-        g = self.grams(df, id_col, text_col)
+        """Term statistics, df bounds, top-k, alphabetical index, idf."""
         n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-        occ = g.select(explode_terms(F.col("_grams")).alias("term"), F.lit(0).alias("_tag"))
-        first = g.select(explode_terms(F.array_distinct("_grams")).alias("term"), F.lit(1).alias("_tag"))
-        rows = occ.unionByName(first).where(F.col("term").isNotNull())
-        dfs = rows.groupBy("term").agg(
-            F.count_if(F.col("_tag") == 1).alias("df"), F.count_if(F.col("_tag") == 0).alias("total_tf")
-        )
-        dfs = dfs.withColumn("_n", n_docs)
-        kept = dfs.where((F.col("df") >= self._bound(self.min_df, F.col("_n"))) & (F.col("df") <= self._bound(self.max_df, F.col("_n"))))
+        toks = df.select(F.col(id_col).alias("_id"), self.tokens(F.col(text_col)).alias("_toks"))
+        stats = self._pruned_stats(toks, n_docs)
+        if stats is None:
+            stats = self._term_stats(self.grams(df, id_col, text_col), "_grams")
+        kept = self._eligible(stats, n_docs)
         if self.max_features is not None:
             kept = kept.orderBy(F.desc("total_tf"), F.asc("term")).limit(self.max_features)
         # alphabetical column order; the window runs over at most max_features rows
@@ -85,6 +117,20 @@ class TfidfVectorizer:
         return TfidfModel(self, vocab, bounded=self.max_features is not None).materialize()
 
 
+# Above this many frequent tokens the pruning set is not tested inside rows
+# and every n-gram is counted instead (same result, more work).
+FREQUENT_TOKEN_LIMIT = 200_000
+
+
+def _cut_small(df: DataFrame) -> DataFrame:
+    """Unigram statistics are read three times: write them once (reliable
+    checkpoint into the shared checkpoint folder)."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 @dataclass
 class TfidfModel:
     params: TfidfVectorizer
@@ -113,15 +159,22 @@ class TfidfModel:
     def transform_long(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """``(id, idx, term, weight)`` for the non-zero entries; V8-V11.
 
-        With a bounded vocabulary the n-grams are filtered against it inside
-        the row (a hash-set membership test) before anything is exploded, so
-        only vocabulary hits reach the (document, term) count."""
+        With a bounded vocabulary, tokens outside the vocabulary's tokens are
+        masked, n-grams are built over the rest and filtered against the
+        vocabulary inside the row (hash-set membership) before anything is
+        exploded, so only vocabulary hits reach the (document, term) count."""
         p = self.params
-        g = p.grams(df, id_col, text_col)
         if self.bounded:
             terms = [r["term"] for r in self._rows]
-            hits = g.select("_id", explode_terms(F.filter("_grams", lambda x: x.isin(terms))).alias("term"))
+            # a vocabulary n-gram is made only of tokens that occur in vocabulary
+            # terms: mask every other token before building n-grams (exact)
+            parts = sorted({t for term in terms for t in term.split(" ")})
+            toks = df.select(F.col(id_col).alias("_id"), p.tokens(F.col(text_col)).alias("_toks"))
+            masked = toks.select("_id", F.transform("_toks", lambda t: F.when(t.isin(parts), t)).alias("_m"))
+            grams = masked.select("_id", ngram_range(F.col("_m"), *p.ngram_range).alias("_grams"))
+            hits = grams.select("_id", explode_terms(F.filter("_grams", lambda x: x.isNotNull() & x.isin(terms))).alias("term"))
         else:
+            g = p.grams(df, id_col, text_col)
             hits = g.select("_id", explode_terms(F.col("_grams")).alias("term")).join(self._vocab("term"), "term", "left_semi")
         hits = hits.where(F.col("term").isNotNull())
         tf = hits.groupBy("_id", "term").agg(F.count(F.lit(1)).alias("tf"))

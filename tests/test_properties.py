@@ -134,3 +134,18 @@ def test_align_columns_adds_zero_columns(spark):
     assert out.columns == ["sample_id", "a", "missing", "has_x"]
     assert out.first().missing == 0
     assert by_prefix(df, ("has_",)) == ["has_x"]
+
+
+def test_tfidf_pruning_is_exact(spark, monkeypatch):
+    from fennec.operators import tfidf as T
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    for params in (dict(max_features=30), dict(max_features=40, ngram_range=(1, 2), min_df=5, max_df=1.0, strip_accents=False, sublinear_tf=False)):
+        v = T.TfidfVectorizer(**params)
+        assert v._pruned_stats(docs.select(F.col("doc_id").alias("_id"), v.tokens(F.col("text")).alias("_toks")),
+                               docs.agg(F.count(F.lit(1)).cast("double")).scalar()) is not None  # pruning engages
+        pruned = sorted(map(tuple, v.fit(docs, "doc_id", "text").vocab.collect()))
+        with monkeypatch.context() as m:
+            m.setattr(T.TfidfVectorizer, "_pruned_stats", lambda self, toks, n: None)
+            full = sorted(map(tuple, v.fit(docs, "doc_id", "text").vocab.collect()))
+        assert pruned == full
