@@ -71,16 +71,17 @@ def exact_quantiles(
         gkeys = keys
     vals = df.select(*gkeys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
-    base = _cut(vals.groupBy(*gkeys).agg(F.count("_v").alias("_n"), F.min("_v").alias("_a"), F.max("_v").alias("_b")))
-    # groups of at most `small` values: one-pass exact percentile, whose
-    # buffer is bounded by the group size
-    small_keys = base.where(F.col("_n") <= F.lit(small)).select(*gkeys)
-    small_res = vals.join(small_keys, gkeys, "left_semi").groupBy(*gkeys).agg(
-        F.percentile("_v", [float(p) for p in probs]).alias(out)
-    )
+    sizes = vals.groupBy(*gkeys).agg(F.count("_v").alias("_n"), F.min("_v").alias("_a"), F.max("_v").alias("_b"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    pct = F.percentile("_v", [float(p) for p in probs]).alias(out)
+    if largest <= small:
+        # every group has at most `small` values: one-pass exact percentile,
+        # whose buffer is bounded by the group size
+        res = vals.groupBy(*gkeys).agg(pct)
+        return res.drop("_g") if not keys else res
+    base = _cut(sizes)
+    small_res = vals.join(base.where(F.col("_n") <= F.lit(small)).select(*gkeys), gkeys, "left_semi").groupBy(*gkeys).agg(pct)
     big = base.where(F.col("_n") > F.lit(small))
-    if big.count() == 0:
-        return small_res.drop("_g") if not keys else small_res
     big_res = _refine(vals.join(big.select(*gkeys), gkeys, "left_semi"), big, gkeys, probs, bins, small, max_rounds, out, write_input)
     res = small_res.unionByName(big_res)
     return res.drop("_g") if not keys else res
