@@ -4,8 +4,9 @@ oracle see identical input.
 
 * ``sample_id``       = ``p_partkey``
 * ``catalog_content`` = ``Item Name: <brand> <name> (Pack of <size>)\\nValue:
-  <size>.5\\nUnit: <type>\\n``; NULL for every 17th key, to exercise the
-  missing-text defaults (no row is dropped)
+  <size>.5\\nUnit: <type>\\n``; NULL for the parts of size 1 (about 2% of
+  the rows at every scale), to exercise the missing-text defaults (no row is
+  dropped)
 * ``image_link``      = a URL built from the key
 * ``price``           = average unit price ``l_extendedprice / l_quantity`` of
   the part's line items (one partial-aggregated shuffle over ``lineitem``)
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .tables import table
 
-NULL_TEXT_EVERY = 17
+# parts of this size get NULL catalog text
+NULL_TEXT_SIZE = 1
 
 
 def catalog(spark: SparkSession, sf_dir: str, with_price: bool = True) -> DataFrame:
@@ -31,7 +33,7 @@ def catalog(spark: SparkSession, sf_dir: str, with_price: bool = True) -> DataFr
     )
     out = part.select(
         F.col("p_partkey").alias("sample_id"),
-        F.when(F.col("p_partkey") % NULL_TEXT_EVERY != 0, text).alias("catalog_content"),
+        F.when(F.col("p_size") != NULL_TEXT_SIZE, text).alias("catalog_content"),
         F.concat(F.lit("https://img.example.com/p/"), F.col("p_partkey").cast("string"), F.lit(".jpg")).alias("image_link"),
     )
     if not with_price:
@@ -46,7 +48,7 @@ def catalog(spark: SparkSession, sf_dir: str, with_price: bool = True) -> DataFr
 
 CATALOG_SQL = f"""
 SELECT p.p_partkey AS sample_id,
-       CASE WHEN p.p_partkey % {NULL_TEXT_EVERY} <> 0 THEN
+       CASE WHEN p.p_size <> {NULL_TEXT_SIZE} THEN
          'Item Name: ' || p.p_brand || ' ' || p.p_name || ' (Pack of ' || CAST(p.p_size AS VARCHAR) || ')' || chr(10) ||
          'Value: ' || CAST(p.p_size AS VARCHAR) || '.5' || chr(10) ||
          'Unit: ' || p.p_type || chr(10)
