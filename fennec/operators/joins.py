@@ -26,3 +26,13 @@ def join_dim(
     if known_rows is not None and known_rows <= max_rows:
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)
+
+
+def fitted_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write a piece of fitted state once (shared checkpoint folder) and count
+    it: later joins read the files and know the size before choosing a
+    broadcast."""
+    from ..sources.files import materialize
+
+    t = materialize(df, name)
+    return t, t.count()

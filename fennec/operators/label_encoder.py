@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import join_dim
+from .joins import fitted_table, join_dim
 
 _LOW33 = (1 << 33) - 1
 
@@ -56,5 +56,7 @@ class LabelEncoder:
     fill: str = "Unknown"
 
     def fit(self, df: DataFrame) -> LabelEncoderModel:
-        codes = {c: dense_index(df.select(F.coalesce(F.col(c), F.lit(self.fill)).alias(c)), c) for c in self.cols}
-        return LabelEncoderModel(self.cols, codes, fill=self.fill)
+        codes, rows = {}, {}
+        for c in self.cols:
+            codes[c], rows[c] = fitted_table(dense_index(df.select(F.coalesce(F.col(c), F.lit(self.fill)).alias(c)), c), f"codes_{c}")
+        return LabelEncoderModel(self.cols, codes, rows, fill=self.fill)

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import join_dim
+from .joins import fitted_table, join_dim
 from .quantiles import column_medians, group_median
 
 
@@ -110,5 +110,7 @@ class GroupStatsEncoder:
         from ..sources.files import materialize
 
         narrow = materialize(df.select(*self.keys, self.target), "group_stats_fit")
-        tables = {k: group_stats(narrow, k, self.target, stats_names(k), self.approx, self.quantiles) for k in self.keys}
-        return GroupStatsModel(self.keys, tables)
+        tables, rows = {}, {}
+        for k in self.keys:
+            tables[k], rows[k] = fitted_table(group_stats(narrow, k, self.target, stats_names(k), self.approx, self.quantiles), f"stats_{k}")
+        return GroupStatsModel(self.keys, tables, rows)
