@@ -149,3 +149,18 @@ def test_tfidf_pruning_is_exact(spark, monkeypatch):
             m.setattr(T.TfidfVectorizer, "_pruned_stats", lambda self, toks, n: None)
             full = sorted(map(tuple, v.fit(docs, "doc_id", "text").vocab.collect()))
         assert pruned == full
+
+
+def test_weight_grid_skips_null_terms(spark):
+    df = spark.createDataFrame([(10.0, 9.0, 11.0, 10.0), (5.0, None, 5.0, 5.0), (8.0, 8.0, 8.0, 8.0)], "a double, p1 double, p2 double, p3 double")
+    got = {(r.w1, r.w2): r.smape for r in E.weight_scores(df, "a", "p1", "p2", "p3").collect()}
+    ref = {}
+    for r in df.collect():
+        for (w1, w2, w3) in E.WeightGrid().points():
+            if r.p1 is None:
+                continue
+            p = (w1 * r.p1 + w2 * r.p2 + w3 * r.p3) / 100.0
+            d = (abs(r.a) + abs(p)) / 2
+            ref.setdefault((w1, w2), []).append(0.0 if d == 0 else abs(r.a - p) / d)
+    for k, terms in ref.items():
+        assert math.isclose(got[k], 100 * sum(terms) / len(terms), rel_tol=1e-9, abs_tol=1e-9)
