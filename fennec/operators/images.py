@@ -5,14 +5,17 @@ the URL (query and fragment kept, as a path basename keeps them), one link per
 file name, anti-joined with the files that already exist.
 S8b fetch: ``mapInPandas`` over the manifest; each task fetches its rows with
 a caller-supplied function and reports ``(image_link, filename, status,
-error)``.  Failures are reported, never raised.  The destination must be a
-folder every executor can write (a shared mount on a cluster).
+error)``.  Failures are reported, never raised; files appear atomically
+(fetched under a unique name, then renamed), so retried or speculative tasks
+are safe.  The destination must be a folder every executor can write (a
+shared mount on a cluster).
 """
 
 from __future__ import annotations
 
 import os
 import urllib.request
+import uuid
 from typing import Callable
 
 import pandas as pd
@@ -79,11 +82,17 @@ def fetch(manifest_df: DataFrame, folder: str, fetcher: Callable[[str, str], Non
                     status.append("exists")
                     error.append(None)
                     continue
+                # fetch into a task-unique name, then rename: a task lost half-way
+                # never leaves a partial file that a retry would take as done
+                part = f"{dest}.part-{uuid.uuid4().hex}"
                 try:
-                    get(link, dest)
+                    get(link, part)
+                    os.replace(part, dest)
                     status.append("ok")
                     error.append(None)
                 except Exception as ex:  # noqa: BLE001 - reported per row, like a warning
+                    if os.path.exists(part):
+                        os.remove(part)
                     status.append("failed")
                     error.append(str(ex))
             yield pd.DataFrame({"image_link": pdf["image_link"], "filename": pdf["filename"], "status": status, "error": error})
