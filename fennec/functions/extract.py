@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .regex import WS, nullif_empty, py_regex, py_split, py_strip, search_group
+from .regex import nullif_empty, py_regex, py_split, py_strip, search_group
 
 # ---------------------------------------------------------------------------
 # These must equal the catalog rules exactly (Python syntax).

@@ -41,3 +41,21 @@ def test_tfidf_fit_aggregates_by_term_only(spark):
 def test_weight_grid_has_no_cartesian_product(spark):
     p = plan(QUERIES["weight_grid_best"](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_state_lookups_are_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from fennec.operators.label_encoder import LabelEncoder
+    from fennec.operators.splits import holdout_flag
+    from fennec.operators.target_encoding import KFoldTargetEncoder
+
+    f = FA.extract(catalog(spark, SF))
+    h = holdout_flag(F.col("sample_id"))
+    model = KFoldTargetEncoder().fit(f.where(~h))
+    assert model.stats_rows is not None and model.stats_rows > 0
+    p = plan(model.transform(f.where(h).drop("price")))
+    assert p.count("BroadcastHashJoin") >= 3 and "SortMergeJoin" not in p
+    codes = LabelEncoder(("unit", "brand")).fit(f)
+    assert all(n > 0 for n in codes.rows.values())
+    assert "SortMergeJoin" not in plan(codes.transform(f))
