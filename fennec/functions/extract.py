@@ -53,12 +53,15 @@ BRAND_PREFIX_PATTERN = r"^(The|A|An)\s+"
 # ---------------------------------------------------------------------------
 
 
-def value(text: Column) -> Column:
-    """First ``Value:`` number as DOUBLE; NULL when absent or not a number.
+def value(text: Column, strict: bool = False) -> Column:
+    """First ``Value:`` number as DOUBLE; NULL when absent.
 
-    (The strict rule stops on ``12.5.3``; here it is NULL, like the tolerant rule.)
+    A captured string that is not a number (``12.5.3``, ``.``) is NULL by
+    default (the tolerant rule); ``strict=True`` makes the query fail on it,
+    as the strict rule does (ANSI cast error).
     """
-    return search_group(text, VALUE_PATTERN).try_cast("double")
+    digits = search_group(text, VALUE_PATTERN)
+    return digits.cast("double") if strict else digits.try_cast("double")
 
 
 def unit_raw(text: Column) -> Column:

@@ -81,3 +81,14 @@ def test_golden_rows(spark):
                     assert math.isclose(g, e, rel_tol=1e-12), (row.id, j, g, e)
             else:
                 assert g == e, (row.id, j, g, e)
+
+
+def test_strict_value_fails_on_bad_number(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    df = spark.createDataFrame([("Value: 12.5.3",)], "c string")
+    assert df.select(X.value(F.col("c"))).first()[0] is None
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        df.select(X.value(F.col("c"), strict=True)).collect()

@@ -98,3 +98,22 @@ def test_score_job_and_stream(spark, split):
     out = spark.read.parquet(f"{d}/stream_out")
     assert out.select("sample_id").distinct().count() == test.count()
     assert os.path.isdir(f"{d}/ckpt")
+
+
+def test_extractor_state_round_trip(spark, split):
+    from fennec.plans.features_b import ProductFeatureExtractor
+    from fennec.sources.state import load_extractor, save_extractor
+
+    train, test = split
+    ex = ProductFeatureExtractor()
+    ex.fit_transform(train)
+    d = scratch()
+    save_extractor(ex, f"{d}/state")
+    back = load_extractor(spark, f"{d}/state")
+    names = ex.get_feature_names()
+    assert back.get_feature_names() == names
+    a = sorted(map(tuple, ex.transform(test).select("sample_id", *names).collect()))
+    b = sorted(map(tuple, back.transform(test).select("sample_id", *names).collect()))
+    assert a == b
+    with pytest.raises(ValueError):
+        ProductFeatureExtractor().transform(test)
