@@ -19,6 +19,7 @@ from ..operators.label_encoder import LabelEncoder, LabelEncoderModel
 from ..operators.quantiles import column_medians
 from ..operators.stats import GroupStatsEncoder, GroupStatsModel
 from ..operators.tfidf import TfidfModel, TfidfVectorizer
+from ..sources.files import materialize
 
 # Base feature list of variant B, in order.
 BASE_FEATURES = [
@@ -77,6 +78,8 @@ class ProductFeatureExtractor:
         self.labels = LabelEncoder(("unit", "brand")).fit(out)
         out = self.labels.transform(out)
         if use_tfidf:
+            # the vocabulary fit reads the frame several times: write it once
+            out = materialize(out.drop(*[c for c in ("catalog_content", "image_link") if c in out.columns]), "extractor_fit")
             params = dict(max_features=max_tfidf_features, ngram_range=(1, 2), min_df=5, max_df=1.0, strip_accents=False, stop_words="english", sublinear_tf=False)
             params.update(self.tfidf_params)
             self.tfidf = TfidfVectorizer(**params).fit(out, self.key, "item_name")
