@@ -165,11 +165,12 @@ def exact_median(df: DataFrame, value: str, keys: list[str] | tuple[str, ...] =
     return q.select(*keys, F.col("_q")[0].alias(out))
 
 
-def group_median(df: DataFrame, value: str, keys: list[str], out: str, mode: str | None = None) -> DataFrame:
+def group_median(df: DataFrame, value: str, keys: list[str], out: str, mode: str | None = None,
+                 write_input: bool = True) -> DataFrame:
     """``(keys..., out)``: exact median per group by the chosen strategy."""
     if (mode or DEFAULT_MODE) == "aggregate":
         return df.groupBy(*keys).agg(F.median(F.col(value).cast("double")).alias(out))
-    return exact_median(df, value, keys, out)
+    return exact_median(df, value, keys, out, write_input=write_input)
 
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], mode: str | None = None) -> dict[str, list | None]:

@@ -32,7 +32,7 @@ def stat_columns(target: str, names: tuple[str, str, str, str], approx: bool = F
 
 
 def group_stats(df: DataFrame, key: str | list[str], target: str = "price", names=("mean", "median", "std", "cnt"),
-                approx: bool = False, quantiles: str | None = None) -> DataFrame:
+                approx: bool = False, quantiles: str | None = None, written_input: bool = False) -> DataFrame:
     """A1/A2: one row per category with the four statistics.
 
     Mean/std/count are one partial-aggregated shuffle; the exact median comes
@@ -44,7 +44,7 @@ def group_stats(df: DataFrame, key: str | list[str], target: str = "price", name
         return df.groupBy(*keys).agg(*stat_columns(target, names, approx))
     t = F.col(target).cast("double")
     moments = df.groupBy(*keys).agg(F.avg(t).alias(names[0]), F.stddev_samp(t).alias(names[2]), F.count(t).alias(names[3]))
-    med = group_median(df, target, keys, names[1], quantiles)
+    med = group_median(df, target, keys, names[1], quantiles, write_input=not written_input)
     return moments.join(med, keys, "left").select(*keys, *names)
 
 
@@ -112,5 +112,5 @@ class GroupStatsEncoder:
         narrow = materialize(df.select(*self.keys, self.target), "group_stats_fit")
         tables, rows = {}, {}
         for k in self.keys:
-            tables[k], rows[k] = fitted_table(group_stats(narrow, k, self.target, stats_names(k), self.approx, self.quantiles), f"stats_{k}")
+            tables[k], rows[k] = fitted_table(group_stats(narrow, k, self.target, stats_names(k), self.approx, self.quantiles, True), f"stats_{k}")
         return GroupStatsModel(self.keys, tables, rows)

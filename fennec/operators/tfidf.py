@@ -119,7 +119,7 @@ class TfidfVectorizer:
 
 # Above this many frequent tokens the pruning set is not tested inside rows
 # and every n-gram is counted instead (same result, more work).
-FREQUENT_TOKEN_LIMIT = 200_000
+FREQUENT_TOKEN_LIMIT = 50_000
 
 
 def _cut_small(df: DataFrame) -> DataFrame:
