@@ -52,8 +52,8 @@ def exact_quantiles(
     value: str,
     probs: list[float],
     keys: list[str] | tuple[str, ...] = (),
-    bins: int = DEFAULT_BINS,
-    small: int = DEFAULT_SMALL,
+    bins: int | None = None,
+    small: int | None = None,
     max_rounds: int = 64,
     out: str = "q",
     write_input: bool = True,
@@ -63,6 +63,8 @@ def exact_quantiles(
 
     ``write_input=False`` when ``df`` is already a cheap scan of a written
     table: refinement rounds then re-read it instead of writing a copy."""
+    bins = DEFAULT_BINS if bins is None else bins
+    small = DEFAULT_SMALL if small is None else small
     keys = list(keys)
     if not keys:
         df = df.withColumn("_g", F.lit(0))

@@ -35,3 +35,22 @@ def test_global_and_columns(skewed, spark):
     two = skewed.withColumn("w", F.col("v") * 2)
     q = column_quantiles(two, ["v", "w"], [0.5])
     assert q["w"][0] == pytest.approx(2 * q["v"][0])
+
+
+def test_encoder_refined_equals_one_pass(spark, monkeypatch):
+    from fennec.operators import quantiles as Q
+    from fennec.operators.target_encoding import KFoldTargetEncoder
+    from fennec.plans import features_a as FA
+    from fennec.sources.catalog import catalog
+
+    f = FA.extract(catalog(spark, "/root/testdata/sf0.001"))
+    cols = ["sample_id", "unit_median_price", "brand_median_price", "pack_qty_median_price", "unit_mean_price", "brand_std_price"]
+    one_pass, _ = KFoldTargetEncoder(quantiles="aggregate").fit_transform(f)
+    monkeypatch.setattr(Q, "DEFAULT_SMALL", 3)  # every group above 3 values goes through refinement
+    monkeypatch.setattr(Q, "DEFAULT_BINS", 4)
+    refined, model = KFoldTargetEncoder().fit_transform(f)
+    a = sorted(map(tuple, one_pass.select(*cols).collect()))
+    b = sorted(map(tuple, refined.select(*cols).collect()))
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        assert x == pytest.approx(y, rel=1e-12, abs=1e-12)
