@@ -38,7 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a scratch folder is created.
+    is (unset on a cluster is an error).  Only for a local master without it
+    (tests) a scratch folder is created.
     """
     sc = spark.sparkContext
     current = (
@@ -50,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        # a machine-local folder would not survive the loss of that machine
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (fitted state and iteration inputs are written there)")
     path = tempfile.mkdtemp(prefix="fennec-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
