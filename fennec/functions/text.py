@@ -8,7 +8,7 @@ import os
 import unicodedata
 import zipfile
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .regex import WORD_CHARS
@@ -16,23 +16,22 @@ from .regex import WORD_CHARS
 # Word tokens of two or more word characters (the default token rule).
 TOKEN_PATTERN = f"[{WORD_CHARS}]{{2,}}"
 
-# Code point ranges covered by the accent-folding table: Latin-1 .. CJK
-# symbols, plus the half/full-width forms.
-_FOLD_RANGES = ((0x80, 0x3000), (0xFF00, 0xFFF0))
+# Code point ranges covered by the folding tables: the Basic Multilingual
+# Plane without surrogates and private use.  Hangul syllables (which NFKD
+# splits into several jamo) are left whole: a documented narrowing.
+_FOLD_RANGES = ((0x80, 0xAC00), (0xD7A4, 0xD800), (0xF900, 0x10000))
 
 
 @functools.lru_cache(maxsize=1)
-def accent_table() -> tuple[str, str]:
-    """``(from, to)`` for ``translate``: NFKD then drop combining marks.
-
-    Built from the Unicode database by rule.  Characters whose folded form is
-    one character map to it; combining marks are deleted (they sit past the end
-    of ``to``); characters that fold to several characters (ligatures,
-    fractions) are left unchanged -- a documented narrowing.
-    """
+def fold_tables() -> tuple[str, str, str, dict[str, str]]:
+    """``(single_from, single_to, drop, multi)`` for NFKD folding without
+    combining marks, built from the Unicode database by rule: characters
+    folding to one character, combining marks (deleted), and characters
+    folding to several characters (ligatures, fractions, digraphs)."""
     src: list[str] = []
     dst: list[str] = []
     drop: list[str] = []
+    multi: dict[str, str] = {}
     for lo, hi in _FOLD_RANGES:
         for cp in range(lo, hi):
             ch = chr(cp)
@@ -45,12 +44,66 @@ def accent_table() -> tuple[str, str]:
             if folded != ch and len(folded) == 1:
                 src.append(ch)
                 dst.append(folded)
-    return "".join(src) + "".join(drop), "".join(dst)
+            elif len(folded) > 1:
+                multi[ch] = folded
+    return "".join(src), "".join(dst), "".join(drop), multi
+
+
+def accent_table() -> tuple[str, str]:
+    """``(from, to)`` for ``translate``: single-character folds, then the
+    combining marks (past the end of ``to``, so deleted)."""
+    src, dst, drop, _ = fold_tables()
+    return src + drop, dst
+
+
+def multi_fold_table() -> dict[str, str]:
+    return fold_tables()[3]
+
+
+# a noncharacter marks rows that hold a multi-character fold
+_SENTINEL = "\uffff"
+
+
+def fold_fast(c: Column) -> Column:
+    """One ``translate`` (a hash lookup per character): every single-character
+    fold applied, combining marks deleted, and each character with a
+    multi-character fold turned into a sentinel."""
+    src, dst, drop, multi = fold_tables()
+    keys = "".join(multi)
+    return F.translate(c, src + keys + drop, dst + _SENTINEL * len(keys))
+
+
+def fold_slow(c: Column) -> Column:
+    """Character-by-character expansion through the multi-character map, then
+    the single-character folds."""
+    src, dst, drop, multi = fold_tables()
+    m = F.create_map(*[F.lit(x) for kv in multi.items() for x in kv])
+    expanded = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(m, ch), ch)), "")
+    return F.translate(expanded, src + drop, dst)
+
+
+def choose_fold(original: Column, fast: Column) -> Column:
+    """The fast result unless it holds the sentinel (rare rows)."""
+    return F.when(F.instr(fast, _SENTINEL) > 0, fold_slow(original)).otherwise(fast)
 
 
 def fold_accents(c: Column) -> Column:
-    src, dst = accent_table()
-    return F.translate(c, src, dst)
+    """NFKD fold without combining marks as one expression.  Where it runs
+    over large texts, project ``fold_fast`` as its own column first and then
+    ``choose_fold`` (``fold_text_frame``) so the translate runs once."""
+    return choose_fold(c, fold_fast(c))
+
+
+def fold_text_frame(df: DataFrame, text: Column, keep: list[Column], out: str = "_t", lowercase: bool = True) -> DataFrame:
+    """``keep + [out]`` with ``out`` the lower-cased, accent-folded text, the
+    single-character pass projected once before the per-row choice."""
+    low = F.coalesce(text, F.lit(""))
+    if lowercase:
+        low = F.lower(low)
+    staged = df.select(*keep, low.alias("_low"))
+    names = [k for k in staged.columns if k != "_low"]
+    staged = staged.select(*names, "_low", fold_fast(F.col("_low")).alias("_fast"))
+    return staged.select(*names, choose_fold(F.col("_low"), F.col("_fast")).alias(out))
 
 
 @functools.lru_cache(maxsize=1)

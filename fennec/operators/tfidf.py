@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import drop_stop_words, english_stop_words, explode_terms, ngram_range, word_tokens
+from ..functions.text import drop_stop_words, english_stop_words, explode_terms, fold_text_frame, ngram_range, word_tokens
 
 
 @dataclass
@@ -46,6 +46,16 @@ class TfidfVectorizer:
         stop = self._stop()
         return drop_stop_words(toks, stop) if stop else toks
 
+    def token_frame(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """``(_id, _toks)``; with accent folding, the folded text is projected
+        in stages so its translate pass runs once per document."""
+        if not self.strip_accents:
+            return df.select(F.col(id_col).alias("_id"), self.tokens(F.col(text_col)).alias("_toks"))
+        folded = fold_text_frame(df, F.col(text_col), [F.col(id_col).alias("_id")], "_t", self.lowercase)
+        toks = word_tokens(F.col("_t"), lowercase=False, strip_accents=False)
+        stop = self._stop()
+        return folded.select("_id", (drop_stop_words(toks, stop) if stop else toks).alias("_toks"))
+
     def _bound(self, v: int | float, n: Column) -> Column:
         return F.lit(v).cast("double") if isinstance(v, int) else F.lit(float(v)) * n
 
@@ -56,7 +66,7 @@ class TfidfVectorizer:
         the tokenizer runs once per document (a lambda over an expression would
         re-run it for every n-gram position).
         """
-        toks = df.select(F.col(id_col).alias("_id"), self.tokens(F.col(text_col)).alias("_toks"))
+        toks = self.token_frame(df, id_col, text_col)
         return toks.select("_id", ngram_range(F.col("_toks"), *self.ngram_range).alias("_grams"))
 
     @staticmethod
@@ -103,7 +113,7 @@ class TfidfVectorizer:
     def fit(self, df: DataFrame, id_col: str, text_col: str) -> "TfidfModel":
         """Term statistics, df bounds, top-k, alphabetical index, idf."""
         n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-        toks = df.select(F.col(id_col).alias("_id"), self.tokens(F.col(text_col)).alias("_toks"))
+        toks = self.token_frame(df, id_col, text_col)
         stats = self._pruned_stats(toks, n_docs)
         if stats is None:
             stats = self._term_stats(self.grams(df, id_col, text_col), "_grams")
@@ -169,7 +179,7 @@ class TfidfModel:
             # a vocabulary n-gram is made only of tokens that occur in vocabulary
             # terms: mask every other token before building n-grams (exact)
             parts = sorted({t for term in terms for t in term.split(" ")})
-            toks = df.select(F.col(id_col).alias("_id"), p.tokens(F.col(text_col)).alias("_toks"))
+            toks = p.token_frame(df, id_col, text_col)
             masked = toks.select("_id", F.transform("_toks", lambda t: F.when(t.isin(parts), t)).alias("_m"))
             grams = masked.select("_id", ngram_range(F.col("_m"), *p.ngram_range).alias("_grams"))
             hits = grams.select("_id", explode_terms(F.filter("_grams", lambda x: x.isNotNull() & x.isin(terms))).alias("term"))

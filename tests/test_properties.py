@@ -164,3 +164,19 @@ def test_weight_grid_skips_null_terms(spark):
             ref.setdefault((w1, w2), []).append(0.0 if d == 0 else abs(r.a - p) / d)
     for k, terms in ref.items():
         assert math.isclose(got[k], 100 * sum(terms) / len(terms), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_accent_folding_matches_nfkd_rule(spark):
+    import unicodedata
+
+    from fennec.functions.text import fold_accents, fold_text_frame
+
+    texts = ["café ½ ĳssel ǅemal ﬁne", "Ölçü Ñandú", "ｆｕｌｌ", "㎏ ℃", "plain", "", "a￿b"]
+
+    def rule(t):
+        return "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    one = [r[0] for r in df.orderBy("i").select(fold_accents(F.col("t"))).collect()]
+    staged = [r["_t"] for r in fold_text_frame(df.orderBy("i"), F.col("t"), [F.col("i")], lowercase=False).orderBy("i").collect()]
+    assert one == staged == [rule(t) for t in texts]
