@@ -78,11 +78,12 @@ class ProductFeatureExtractor:
         self.labels = LabelEncoder(("unit", "brand")).fit(out)
         out = self.labels.transform(out)
         if use_tfidf:
-            # the vocabulary fit reads the frame several times: write it once
-            out = materialize(out.drop(*[c for c in ("catalog_content", "image_link") if c in out.columns]), "extractor_fit")
             params = dict(max_features=max_tfidf_features, ngram_range=(1, 2), min_df=5, max_df=1.0, strip_accents=False, stop_words="english", sublinear_tf=False)
             params.update(self.tfidf_params)
-            self.tfidf = TfidfVectorizer(**params).fit(out, self.key, "item_name")
+            # the vocabulary fit reads its input several times: write the two
+            # columns it needs once (the returned frame keeps every column)
+            fit_input = materialize(out.select(self.key, "item_name"), "extractor_tfidf_fit")
+            self.tfidf = TfidfVectorizer(**params).fit(fit_input, self.key, "item_name")
             out, _ = self.tfidf.transform_columns(out, self.key, "item_name", prefix="tfidf_")
         self.fitted = True
         return out

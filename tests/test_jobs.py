@@ -117,3 +117,15 @@ def test_extractor_state_round_trip(spark, split):
     assert a == b
     with pytest.raises(ValueError):
         ProductFeatureExtractor().transform(test)
+
+
+def test_fit_transform_keeps_input_columns(spark, split):
+    from fennec.plans.features_b import ProductFeatureExtractor
+
+    train, test = split
+    ex = ProductFeatureExtractor()
+    a = ex.fit_transform(train)
+    b = ex.transform(test)
+    for c in ("sample_id", "catalog_content", "image_link"):
+        assert c in a.columns and c in b.columns
+    assert set(ex.get_feature_names()) <= set(a.columns) & set(b.columns)
