@@ -256,21 +256,27 @@ _B8 = ["unit_price_mean", "unit_price_median", "unit_price_std", "unit_count",
 _B8D = {c for c in _B8 if not c.endswith("_count")}
 
 
-def _b8_sql(train_where: str, rows_where: str) -> str:
-    stats = []
+def _b8_ctes(train_where: str, rows_where: str) -> list[str]:
+    """CTEs ending in ``j(sample_id, <8 stat columns>)``: stats of the train rows
+    left-joined to the scored rows."""
+    ctes = [CAT, CAT_B]
     for k in ("unit", "brand"):
-        stats.append(
+        ctes.append(
             f"s_{k} AS (SELECT {k}, avg(price) AS {k}_price_mean, median(price) AS {k}_price_median, "
             f"stddev_samp(price) AS {k}_price_std, count(price) AS {k}_count FROM cat_b WHERE {train_where} GROUP BY {k})"
         )
-    j = ("j AS (SELECT r.sample_id, " + ", ".join(_B8) + f" FROM (SELECT * FROM cat_b WHERE {rows_where}) r "
-         "LEFT JOIN s_unit USING (unit) LEFT JOIN s_brand USING (brand))")
+    ctes.append("j AS (SELECT r.sample_id, " + ", ".join(_B8) + f" FROM (SELECT * FROM cat_b WHERE {rows_where}) r "
+                "LEFT JOIN s_unit USING (unit) LEFT JOIN s_brand USING (brand))")
+    return ctes
+
+
+def _b8_sql(train_where: str, rows_where: str) -> str:
     sel = ", ".join(
         f"round(COALESCE({c}, (SELECT median({c}) FROM j)), 6) AS {c}" if c in _B8D
         else f"CAST(COALESCE(CAST({c} AS DOUBLE), (SELECT median({c}) FROM j)) AS DOUBLE) AS {c}"
         for c in _B8
     )
-    return _with(CAT, CAT_B, *stats, j) + f"SELECT sample_id, {sel} FROM j"
+    return _with(*_b8_ctes(train_where, rows_where)) + f"SELECT sample_id, {sel} FROM j"
 
 
 def _b8_out(df):
@@ -318,7 +324,8 @@ def _te_out(df):
     return df.select("sample_id", *[r6(c).alias(c) if c in _TED else F.col(c) for c in _TE])
 
 
-def _oof_sql(rounded: bool = True) -> str:
+def _oof_parts(rounded: bool = True) -> tuple[list[str], str]:
+    """``(ctes, select)`` of the out-of-fold encoding over ``fo`` (fold-tagged rows)."""
     R = (lambda e: f"round({e}, 6)") if rounded else (lambda e: e)
     ctes = [CAT, CAT_A, f"fo AS (SELECT *, {O.fold('sample_id')} AS fold FROM cat_a)",
             "hs AS (SELECT * FROM range(5) t(h))",
@@ -339,7 +346,12 @@ def _oof_sql(rounded: bool = True) -> str:
             f"{R(f'COALESCE(st_{c}.sd, 0.0)')} AS {std}",
             f"CAST(COALESCE(st_{c}.n, 0) AS BIGINT) AS {cnt}",
         ]
-    return _with(*ctes) + "SELECT fo.sample_id, " + ", ".join(sel) + " FROM fo LEFT JOIN gm ON gm.h = fo.fold " + " ".join(joins)
+    return ctes, ", ".join(sel) + " FROM fo LEFT JOIN gm ON gm.h = fo.fold " + " ".join(joins)
+
+
+def _oof_sql(rounded: bool = True) -> str:
+    ctes, select = _oof_parts(rounded)
+    return _with(*ctes) + "SELECT fo.sample_id, " + select
 
 
 @register("target_encode_oof", _oof_sql())
@@ -391,10 +403,9 @@ _IX = ["value_x_unit_mean", "brand_x_unit_mean", "pack_x_value", "value_x_brand"
 
 
 def _interactions_sql() -> str:
-    base = _oof_sql(rounded=False).replace("SELECT fo.sample_id, ", "SELECT fo.sample_id, fo.value, fo.pack_qty, ", 1)
-    head, body = base.split("\nSELECT fo.sample_id", 1)
-    enc = head + ",\nenc AS (SELECT fo.sample_id" + body + ")"
-    return enc + f""",
+    ctes, select = _oof_parts(rounded=False)
+    enc = _with(*ctes, "enc AS (SELECT fo.sample_id, fo.value, fo.pack_qty, " + select + ")")
+    return enc.rstrip("\n") + f""",
 vm AS (SELECT median(value) AS vm FROM cat_a),
 gmall AS (SELECT avg(price) AS gm FROM catalog),
 x AS (SELECT enc.*, COALESCE(enc.value, vm.vm) AS v FROM enc, vm)
@@ -744,9 +755,7 @@ _B_INT = {"item_name_length", "item_name_word_count", "catalog_length", "unit_en
 
 
 def _b_matrix_sql() -> str:
-    b8 = _b8_sql("true", "true")
-    head, _ = b8.rsplit("\nSELECT sample_id,", 1) if "\nSELECT sample_id," in b8 else b8.rsplit("SELECT sample_id,", 1)
-    ctes = [head[len("WITH "):]]
+    ctes = _b8_ctes("true", "true")
     for c in ("unit", "brand"):
         ctes.append(f"codes_{c} AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code "
                     f"FROM (SELECT DISTINCT COALESCE({c}, 'Unknown') AS v FROM cat_b))")
@@ -763,7 +772,7 @@ def _b_matrix_sql() -> str:
     for c in FB.BASE_FEATURES:
         e = f"COALESCE({c}, (SELECT median({c}) FROM m))"
         filled.append(f"{e} AS {c}" if c in _B_INT else f"round({e}, 6) AS {c}")
-    return "WITH " + ",\n".join(ctes) + "\nSELECT sample_id, " + ", ".join(filled) + " FROM m"
+    return _with(*ctes) + "SELECT sample_id, " + ", ".join(filled) + " FROM m"
 
 
 @register("features_b_matrix", _b_matrix_sql())
