@@ -842,3 +842,24 @@ def q_unit_price_quartiles(spark, sf):
     per = exact_quantiles(li, "up", probs, ["l_returnflag"]).select(F.col("l_returnflag").alias("grp"), "q")
     out = allq.unionByName(per)
     return out.select("grp", *[r6(F.col("q")[i]).alias(n) for i, n in enumerate(["q25", "q50", "q75"])])
+
+
+# --- S12: dataset shape report --------------------------------------------------------------------
+
+@register("shape_report", "WITH " + CAT + ",\n" + O.extract_a_cte() + ",\n" + O.tfidf_vocab_sql(
+    "cat_a", "sample_id", "item_name", 150, (1, 3), 3, 0.85, True, True) + """
+SELECT (SELECT count(*) FROM catalog) AS n_rows, 40 AS n_numeric, 16 AS n_keyword, 7 AS n_category,
+       (SELECT CAST(count(*) AS INTEGER) FROM vocab) AS n_text,
+       63 + (SELECT CAST(count(*) AS INTEGER) FROM vocab) AS n_features""")
+def q_shape_report(spark, sf):
+    """Rows and feature counts by group of the variant A matrix."""
+    from ..operators.assemble import by_prefix
+    from ..operators.evaluation import shape_report
+
+    feats, _ = FA.AdvancedFeatures().fit_transform(catalog(spark, sf))
+    tf = TfidfVectorizer(**TFIDF_A).fit(feats, "sample_id", "item_name")
+    groups = {"n_numeric": FA.NUMERIC_COLS, "n_keyword": by_prefix(feats, ("has_",)), "n_category": by_prefix(feats, ("cat_",)),
+              "n_text": [f"text_{i}" for i in range(tf.size())]}
+    rep = shape_report(feats, groups)
+    row = (rep["rows"], *[rep[k] for k in groups], sum(rep[k] for k in groups))
+    return spark.createDataFrame([row], "n_rows long, n_numeric int, n_keyword int, n_category int, n_text int, n_features int")
