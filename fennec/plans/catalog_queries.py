@@ -863,3 +863,28 @@ def q_shape_report(spark, sf):
     rep = shape_report(feats, groups)
     row = (rep["rows"], *[rep[k] for k in groups], sum(rep[k] for k in groups))
     return spark.createDataFrame([row], "n_rows long, n_numeric int, n_keyword int, n_category int, n_text int, n_features int")
+
+
+# --- V12 + N24: named dense TF-IDF columns bound to every row by key --------------------------------
+
+_DENSE_K = TFIDF_A["max_features"]
+
+
+def _dense_sql() -> str:
+    cols = ", ".join(f"round(COALESCE(max(CASE WHEN w.idx = {i} THEN w.weight END), 0.0), 6) AS text_{i}" for i in range(_DENSE_K))
+    return _vocab_sql(TFIDF_A) + """,
+wt AS (SELECT tf._id AS doc_id, vocab.idx, (1.0 + ln(tf.tf)) * vocab.idf AS w FROM tf JOIN vocab USING (term)),
+wl AS (SELECT doc_id, idx, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM wt)
+SELECT d.doc_id, """ + cols + """
+FROM documents d LEFT JOIN wl w ON w.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+@register("tfidf_dense", _dense_sql())
+def q_tfidf_dense(spark, sf):
+    """Every document with ``text_0..text_{k-1}`` (vocabulary order), zeros
+    where a term is absent; the vocabulary holds ``max_features`` terms at
+    every scale of the driver tables."""
+    docs = table(spark, sf, "documents")
+    m = TfidfVectorizer(**TFIDF_A).fit(docs, "doc_id", "text")
+    out, names = m.transform_columns(docs.select("doc_id", "text"), "doc_id", "text", prefix="text_", size=_DENSE_K)
+    return out.select("doc_id", *[r6(n).alias(n) for n in names])
