@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,26 +168,60 @@ class TfidfModel:
         v = self.vocab.select(*cols)
         return F.broadcast(v) if self.bounded else v
 
+    def _row_weights(self, df: DataFrame, text_col: str, keep: list[str], out: str) -> DataFrame:
+        """Bounded vocabulary: ``keep + [out]`` with ``out`` the L2-normalised
+        weights of the row, computed inside the row -- no shuffle.
+
+        Tokens outside the vocabulary's tokens are masked, n-grams are built over
+        the rest and filtered against the vocabulary (hash-set membership), MLlib's
+        ``CountVectorizerModel`` counts the hits per row in the JVM, and tf
+        weighting, idf and the L2 norm are array expressions."""
+        p = self.params
+        rows = sorted(self._rows, key=lambda r: r["idx"])
+        terms = [r["term"] for r in rows]
+        k = len(terms)
+        cols = [F.col(f"`{c}`") for c in keep]
+        if k == 0:
+            return df.select(*cols, F.array().cast("array<double>").alias(out))
+        if p.strip_accents:
+            base = fold_text_frame(df, F.col(text_col), cols, "_t", p.lowercase)
+            toks = word_tokens(F.col("_t"), lowercase=False, strip_accents=False)
+        else:
+            base = df.select(*cols, F.col(text_col).alias("_t"))
+            toks = word_tokens(F.col("_t"), p.lowercase, strip_accents=False)
+        stop = p._stop()
+        base = base.select(*cols, (drop_stop_words(toks, stop) if stop else toks).alias("_toks"))
+        # a vocabulary n-gram is made only of tokens that occur in vocabulary terms
+        parts = sorted({t for term in terms for t in term.split(" ")})
+        base = base.select(*cols, F.transform("_toks", lambda t: F.when(t.isin(parts), t)).alias("_m"))
+        base = base.select(*cols, ngram_range(F.col("_m"), *p.ngram_range).alias("_g"))
+        base = base.select(*cols, F.filter("_g", lambda x: x.isNotNull() & x.isin(terms)).alias("_hits"))
+        counted = CountVectorizerModel.from_vocabulary(terms, inputCol="_hits", outputCol="_cv").transform(base)
+        idf = F.array(*[F.lit(float(r["idf"])) for r in rows])
+        if p.sublinear_tf:
+            weight = lambda c, i: F.when(c > 0, (F.lit(1.0) + F.log(c)) * i).otherwise(F.lit(0.0))
+        else:
+            weight = lambda c, i: c * i
+        w = counted.select(*cols, F.zip_with(vector_to_array(F.col("_cv")), idf, weight).alias("_w"))
+        w = w.select(*cols, "_w", F.sqrt(F.aggregate("_w", F.lit(0.0), lambda acc, x: acc + x * x)).alias("_norm"))
+        return w.select(*cols, F.when(F.col("_norm") > 0, F.transform("_w", lambda x: x / F.col("_norm")))
+                        .otherwise(F.col("_w")).alias(out))
+
     def transform_long(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """``(id, idx, term, weight)`` for the non-zero entries; V8-V11.
 
-        With a bounded vocabulary, tokens outside the vocabulary's tokens are
-        masked, n-grams are built over the rest and filtered against the
-        vocabulary inside the row (hash-set membership) before anything is
-        exploded, so only vocabulary hits reach the (document, term) count."""
+        Bounded vocabulary: the row's weights are computed inside the row
+        (``_row_weights``) and the non-zero positions exploded -- map-only.
+        Unbounded: vocabulary hits are exploded, counted per (document, term)
+        and normalised per document."""
         p = self.params
         if self.bounded:
-            terms = [r["term"] for r in self._rows]
-            # a vocabulary n-gram is made only of tokens that occur in vocabulary
-            # terms: mask every other token before building n-grams (exact)
-            parts = sorted({t for term in terms for t in term.split(" ")})
-            toks = p.token_frame(df, id_col, text_col)
-            masked = toks.select("_id", F.transform("_toks", lambda t: F.when(t.isin(parts), t)).alias("_m"))
-            grams = masked.select("_id", ngram_range(F.col("_m"), *p.ngram_range).alias("_grams"))
-            hits = grams.select("_id", explode_terms(F.filter("_grams", lambda x: x.isNotNull() & x.isin(terms))).alias("term"))
-        else:
-            g = p.grams(df, id_col, text_col)
-            hits = g.select("_id", explode_terms(F.col("_grams")).alias("term")).join(self._vocab("term"), "term", "left_semi")
+            terms = F.array(*[F.lit(r["term"]) for r in sorted(self._rows, key=lambda r: r["idx"])])
+            w = self._row_weights(df, text_col, [id_col], "_w")
+            pos = w.select(F.col(id_col), F.posexplode_outer("_w").alias("idx", "weight")).where(F.col("weight") > 0)
+            return pos.select(id_col, "idx", F.element_at(terms, F.col("idx") + 1).alias("term"), "weight")
+        g = p.grams(df, id_col, text_col)
+        hits = g.select("_id", explode_terms(F.col("_grams")).alias("term")).join(self._vocab("term"), "term", "left_semi")
         hits = hits.where(F.col("term").isNotNull())
         tf = hits.groupBy("_id", "term").agg(F.count(F.lit(1)).alias("tf"))
         w_tf = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) if p.sublinear_tf else F.col("tf").cast("double")
@@ -200,6 +236,12 @@ class TfidfModel:
     def transform_dense(self, df: DataFrame, id_col: str, text_col: str, out: str = "tfidf", size: int | None = None) -> DataFrame:
         """Adds ``out`` = array<double> of ``size`` weights (0 for absent terms) per row."""
         k = self.size() if size is None else size
+        if self.bounded:
+            res = self._row_weights(df, text_col, df.columns, out)
+            if k == self.size():
+                return res
+            pad = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.get(F.col(out), i), F.lit(0.0)))
+            return res.withColumn(out, pad if k > 0 else F.array().cast("array<double>"))
         long = self.transform_long(df, id_col, text_col)
         per_doc = long.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("_m"))
         dense = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
