@@ -175,7 +175,8 @@ def group_median(df: DataFrame, value: str, keys: list[str], out: str, mode: str
     return exact_median(df, value, keys, out, write_input=write_input)
 
 
-def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], mode: str | None = None) -> dict[str, list | None]:
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], mode: str | None = None,
+                     written_input: bool = False) -> dict[str, list | None]:
     """Exact quantiles of several columns of one frame, as driver-side
     numbers (one small row per column: the size is bounded by ``len(cols)``)."""
     if not cols:
@@ -184,9 +185,12 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], mode: s
         row = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), probs).alias(c) for c in cols]).first()
         return {c: (list(row[c]) if row[c] is not None else None) for c in cols}
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(f"`{c}`").cast("double").alias("_x")) for c in cols])).alias("_e")).select("_e._col", "_e._x")
-    got = {r["_col"]: list(r["q"]) for r in exact_quantiles(long, "_x", probs, ["_col"]).collect()}
+    got = {r["_col"]: list(r["q"]) for r in exact_quantiles(long, "_x", probs, ["_col"], write_input=not written_input).collect()}
     return {c: got.get(c) for c in cols}
 
 
-def column_medians(df: DataFrame, cols: list[str], mode: str | None = None) -> dict[str, float | None]:
-    return {c: (q[0] if q else None) for c, q in column_quantiles(df, cols, [0.5], mode).items()}
+def column_medians(df: DataFrame, cols: list[str], mode: str | None = None, written_input: bool = False) -> dict[str, float | None]:
+    """``written_input``: ``df`` is a scan of a written table, so refinement
+    rounds re-read it (exploding the columns in-pipeline) instead of writing
+    the long form."""
+    return {c: (q[0] if q else None) for c, q in column_quantiles(df, cols, [0.5], mode, written_input).items()}

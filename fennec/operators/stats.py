@@ -59,7 +59,7 @@ def global_stats(df: DataFrame, target: str = "price", quantiles: str | None = N
     return df.agg(F.avg(F.col(target).cast("double")).alias("global_mean"), F.lit(med).cast("double").alias("global_median"))
 
 
-def fill_with_frame_median(df: DataFrame, cols: list[str], quantiles: str | None = None) -> DataFrame:
+def fill_with_frame_median(df: DataFrame, cols: list[str], quantiles: str | None = None, written_input: bool = False) -> DataFrame:
     """NULL -> median of that column in the *current* frame.
 
     The medians are computed once (exact, bounded per task) and applied as
@@ -68,7 +68,7 @@ def fill_with_frame_median(df: DataFrame, cols: list[str], quantiles: str | None
     present = [c for c in cols if c in df.columns]
     if not present:
         return df
-    med = column_medians(df, present, quantiles)
+    med = column_medians(df, present, quantiles, written_input)
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double")) if med[c] is not None else F.col(c) for c in present})
 
 

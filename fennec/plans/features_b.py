@@ -114,6 +114,7 @@ def prepare_features_for_modeling(df: DataFrame, extractor: ProductFeatureExtrac
     filled by the frame median (N19-N21), y = key + target (train only)."""
     feats = extractor.fit_transform(df, target_col=target_col) if is_train else extractor.transform(df)
     names = extractor.get_feature_names()
-    X_ = clean_median(align_columns(feats, names, keep=[extractor.key]), names)
+    # the aligned matrix is the model input: write it once, then fill from the files
+    X_ = clean_median(materialize(align_columns(feats, names, keep=[extractor.key]), "model_matrix"), names, written_input=True)
     y = feats.select(extractor.key, target_col) if is_train and target_col in feats.columns else None
     return X_, y, feats
