@@ -116,5 +116,7 @@ def prepare_features_for_modeling(df: DataFrame, extractor: ProductFeatureExtrac
     names = extractor.get_feature_names()
     # the aligned matrix is the model input: write it once, then fill from the files
     X_ = clean_median(materialize(align_columns(feats, names, keep=[extractor.key]), "model_matrix"), names, written_input=True)
-    y = feats.select(extractor.key, target_col) if is_train and target_col in feats.columns else None
+    # the target passes through the features unchanged: read it from the input
+    # (a scan) rather than from the feature plan
+    y = df.select(extractor.key, target_col) if is_train and target_col in df.columns else None
     return X_, y, feats
