@@ -13,6 +13,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _default_driver_memory() -> str:
+    """60% of the machine's memory, at most 16 GB (local mode: the driver is
+    the only JVM, and a heap larger than the machine gets the process killed)."""
+    try:
+        with open("/proc/meminfo") as fh:
+            kb = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal:"))
+        return f"{max(1, min(16, int(kb * 0.6 / 1024 / 1024)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "fennec") -> SparkSession:
     """A local session for tests/bench: AQE on, UI off, UTC, Arrow on."""
     spark = (
@@ -26,7 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("FENNEC_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("FENNEC_DRIVER_MEMORY", _default_driver_memory()))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
