@@ -104,10 +104,11 @@ class TfidfVectorizer:
         r = top.agg(F.count(F.lit(1)).alias("k"), F.min("total_tf").alias("L")).first()
         if r["k"] < self.max_features or r["L"] is None or r["L"] <= 1:
             return None
-        frequent = uni.where(F.col("total_tf") >= F.lit(r["L"])).select("term")
-        if frequent.count() > FREQUENT_TOKEN_LIMIT:
+        # at most FREQUENT_TOKEN_LIMIT + 1 rows reach the driver: one job decides and fetches
+        frequent = uni.where(F.col("total_tf") >= F.lit(r["L"])).select("term").limit(FREQUENT_TOKEN_LIMIT + 1).collect()
+        if len(frequent) > FREQUENT_TOKEN_LIMIT:
             return None
-        keep = [x["term"] for x in frequent.collect()]
+        keep = [x["term"] for x in frequent]
         masked = toks.select(F.transform("_toks", lambda t: F.when(t.isin(keep), t)).alias("_m"))
         grams = masked.select(F.filter(ngram_range(F.col("_m"), 2, hi), lambda x: x.isNotNull()).alias("_grams"))
         return uni.unionByName(self._term_stats(grams, "_grams"))
