@@ -59,3 +59,14 @@ def test_state_lookups_are_broadcast(spark):
     codes = LabelEncoder(("unit", "brand")).fit(f)
     assert all(n > 0 for n in codes.rows.values())
     assert "SortMergeJoin" not in plan(codes.transform(f))
+
+
+def test_tfidf_transform_is_map_only(spark):
+    from fennec.operators.tfidf import TfidfVectorizer
+    from fennec.sources.tables import table
+
+    docs = table(spark, SF, "documents")
+    m = TfidfVectorizer().fit(docs, "doc_id", "text")
+    for df in (m.transform_long(docs, "doc_id", "text"), m.transform_dense(docs, "doc_id", "text")):
+        p = plan(df)
+        assert "Exchange" not in p and "PythonUDF" not in p
