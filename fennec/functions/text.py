@@ -4,9 +4,8 @@ stop words and word n-grams, all as JVM column expressions."""
 from __future__ import annotations
 
 import functools
-import os
 import unicodedata
-import zipfile
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,16 +107,11 @@ def fold_text_frame(df: DataFrame, text: Column, keep: list[Column], out: str =
 
 @functools.lru_cache(maxsize=1)
 def english_stop_words() -> tuple[str, ...]:
-    """Spark MLlib's default English list (read from the installed MLlib jar)."""
-    import pyspark
-
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for name in sorted(os.listdir(jars)):
-        if name.startswith("spark-mllib_") and name.endswith(".jar"):
-            with zipfile.ZipFile(os.path.join(jars, name)) as z:
-                words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
-            return tuple(words)
-    raise FileNotFoundError("spark-mllib jar not found")
+    """Spark MLlib's default English stop words, read from the package's own
+    data (no JVM and no path of the PySpark installation is needed, so this
+    also works when PySpark is imported from a zip archive)."""
+    text = resources.files("fennec.data").joinpath("english_stop_words.txt").read_text(encoding="utf-8")
+    return tuple(w for line in text.splitlines() if not line.startswith("#") for w in line.split())
 
 
 def word_tokens(text: Column, lowercase: bool = True, strip_accents: bool = False) -> Column:

@@ -31,19 +31,26 @@ from . import features_b as FB
 from . import oracle as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, Callable[[], str]] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: Callable[[], str] | None = None):
+    """Register a query; ``sql`` builds its oracle only when it is asked for,
+    so that no oracle can keep the queries from being imported."""
+
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = O.portable_rounding(sql)
+            ORACLE[name] = sql
         return fn
 
     return deco
 
 
+def oracle_sql() -> dict[str, str]:
+    return {name: O.portable_rounding(sql()) for name, sql in ORACLE.items()}
+
+
 def rnd(c: Column | str, digits: int = 6) -> Column:
     """``floor(x * 10^d + 0.5) / 10^d`` for |x| < 1e9: the same float steps as the
     oracle, so both engines emit identical doubles."""
@@ -79,7 +86,7 @@ def _sel(cols: list[str], doubles: set[str]) -> str:
 
 # --- E: extraction -----------------------------------------------------------
 
-@register("extract_basic", _with(CAT, CAT_B) + """
+@register("extract_basic", lambda: _with(CAT, CAT_B) + """
 SELECT sample_id, round(value, 6) AS value, unit, item_name, brand, catalog_length, item_name_length,
        item_name_word_count, round(pack_quantity, 6) AS pack_quantity, round(value_filled, 6) AS value_filled
 FROM cat_b""")
@@ -90,7 +97,7 @@ def q_extract_basic(spark, sf):
                  r6("pack_quantity").alias("pack_quantity"), r6("value_filled").alias("value_filled")), "sample_id")
 
 
-@register("extract_advanced", _with(CAT, CAT_A) + f"""
+@register("extract_advanced", lambda: _with(CAT, CAT_A) + f"""
 SELECT sample_id, round(value, 6) AS value, unit, item_name, pack_qty, brand, {_sel(MEASURE_COLS, MEASURE_DOUBLES)}
 FROM cat_a""")
 def q_extract_advanced(spark, sf):
@@ -104,7 +111,7 @@ def q_extract_advanced(spark, sf):
 _DOC_M = O.measures_a("text", "text")
 
 
-@register("text_measures", "SELECT doc_id, " + ", ".join(
+@register("text_measures", lambda: "SELECT doc_id, " + ", ".join(
     (f"round({v}, 6) AS {k}" if k in MEASURE_DOUBLES else f"{v} AS {k}") for k, v in _DOC_M.items())
     + ", round(CAST(len(regexp_extract_all(COALESCE(text, ''), " + O.lit("[^" + O.WS_CHARS + "]+") + ")) AS DOUBLE) / "
     "CAST(len(regexp_extract_all(COALESCE(text, ''), '[.!?]+')) + 1 AS DOUBLE), 6) AS words_per_sentence FROM documents")
@@ -132,13 +139,13 @@ _KW = {f"has_{k}": p for k, p in PREMIUM_KEYWORDS.items()}
 _CT = {f"cat_{k}": p for k, p in CATEGORIES.items()}
 
 
-@register("keyword_flags", _flags_sql(_KW))
+@register("keyword_flags", lambda: _flags_sql(_KW))
 def q_keyword_flags(spark, sf):
     d = table(spark, sf, "documents")
     return d.select("doc_id", *[c.alias(k) for k, c in flag_columns(F.col("text"), _KW).items()])
 
 
-@register("category_flags", _flags_sql(_CT))
+@register("category_flags", lambda: _flags_sql(_CT))
 def q_category_flags(spark, sf):
     d = table(spark, sf, "documents")
     return d.select("doc_id", *[c.alias(k) for k, c in flag_columns(F.col("text"), _CT).items()])
@@ -149,7 +156,7 @@ def q_category_flags(spark, sf):
 HOLD = O.holdout("sample_id")
 
 
-@register("impute_train_median", _with(CAT, CAT_A) + f"""
+@register("impute_train_median", lambda: _with(CAT, CAT_A) + f"""
 SELECT sample_id, round(COALESCE(value, (SELECT median(value) FROM cat_a WHERE NOT {HOLD})), 6) AS value_filled,
        CAST(value IS NULL AS INTEGER) AS value_missing
 FROM cat_a""")
@@ -160,7 +167,7 @@ def q_impute_train_median(spark, sf):
                     F.col("value").isNull().cast("int").alias("value_missing"))
 
 
-@register("impute_self", _with(CAT, CAT_A, f"s AS (SELECT *, CAST({HOLD} AS INTEGER) AS is_holdout FROM cat_a)") + """
+@register("impute_self", lambda: _with(CAT, CAT_A, f"s AS (SELECT *, CAST({HOLD} AS INTEGER) AS is_holdout FROM cat_a)") + """
 SELECT sample_id, is_holdout,
        round(COALESCE(value, median(value) OVER (PARTITION BY is_holdout)), 6) AS value_filled
 FROM s""")
@@ -177,7 +184,7 @@ def q_impute_self(spark, sf):
 _VT = ["value_per_pack", "value_squared", "value_log", "value_sqrt", "value_cubed", "pack_value_interaction"]
 
 
-@register("numeric_transforms", _with(CAT, CAT_A, "f AS (SELECT *, COALESCE(value, (SELECT median(value) FROM cat_a)) AS v FROM cat_a)") + f"""
+@register("numeric_transforms", lambda: _with(CAT, CAT_A, "f AS (SELECT *, COALESCE(value, (SELECT median(value) FROM cat_a)) AS v FROM cat_a)") + f"""
 SELECT sample_id, round({O.ieee_divide('v', 'pack_qty')}, 6) AS value_per_pack, round(v * v, 6) AS value_squared,
        round(ln(1 + v), 6) AS value_log, round(sqrt(v), 6) AS value_sqrt, round(v * v * v, 6) AS value_cubed,
        round(pack_qty * v, 6) AS pack_value_interaction
@@ -192,7 +199,7 @@ def q_numeric_transforms(spark, sf):
 _CLEAN = ["value", "value_pack_ratio"]
 
 
-@register("matrix_clean_zero", _with(CAT, CAT_B) + f"""
+@register("matrix_clean_zero", lambda: _with(CAT, CAT_B) + f"""
 SELECT sample_id, round(CASE WHEN value IS NULL THEN 0.0 ELSE value END, 6) AS value,
        round(CASE WHEN r IS NULL OR isinf(r) THEN 0.0 ELSE r END, 6) AS value_pack_ratio
 FROM (SELECT sample_id, value, {O.ieee_divide('value', 'pack_quantity')} AS r FROM cat_b)""")
@@ -202,7 +209,7 @@ def q_matrix_clean_zero(spark, sf):
     return f.select("sample_id", *[r6(finite_or_zero(F.col(c))).alias(c) for c in _CLEAN])
 
 
-@register("matrix_clean_median", _with(CAT, CAT_B, f"r AS (SELECT sample_id, value, {O.ieee_divide('value', 'pack_quantity')} AS value_pack_ratio FROM cat_b)") + """
+@register("matrix_clean_median", lambda: _with(CAT, CAT_B, f"r AS (SELECT sample_id, value, {O.ieee_divide('value', 'pack_quantity')} AS value_pack_ratio FROM cat_b)") + """
 SELECT sample_id, round(COALESCE(value, (SELECT median(value) FROM r)), 6) AS value,
        round(COALESCE(value_pack_ratio, (SELECT median(value_pack_ratio) FROM r)), 6) AS value_pack_ratio
 FROM r""")
@@ -234,13 +241,13 @@ for _k, _n in (("unit", "group_stats_unit"), ("brand", "group_stats_brand"), ("p
     register(_n, _stats_sql(_k))(_stats_query(_k))
 
 
-@register("global_stats", _with(CAT) + "SELECT round(avg(price), 6) AS global_mean, round(median(price), 6) AS global_median FROM catalog")
+@register("global_stats", lambda: _with(CAT) + "SELECT round(avg(price), 6) AS global_mean, round(median(price), 6) AS global_median FROM catalog")
 def q_global_stats(spark, sf):
     g = global_stats(catalog(spark, sf), "price")
     return g.select(r6("global_mean").alias("global_mean"), r6("global_median").alias("global_median"))
 
 
-@register("group_mean_smape", _with(CAT, CAT_A, "s AS (SELECT unit, avg(price) AS m FROM cat_a GROUP BY unit)") + """
+@register("group_mean_smape", lambda: _with(CAT, CAT_A, "s AS (SELECT unit, avg(price) AS m FROM cat_a GROUP BY unit)") + """
 SELECT round(100 * avg(CASE WHEN (abs(price) + abs(m)) / 2 = 0 THEN 0
                             ELSE abs(price - m) / ((abs(price) + abs(m)) / 2) END), 6) AS smape
 FROM cat_a JOIN s USING (unit)""")
@@ -283,13 +290,13 @@ def _b8_out(df):
     return df.select("sample_id", *[r6(c).alias(c) if c in _B8D else F.col(c).cast("double").alias(c) for c in _B8])
 
 
-@register("group_stats_join", _b8_sql("true", "true"))
+@register("group_stats_join", lambda: _b8_sql("true", "true"))
 def q_group_stats_join(spark, sf):
     f = FB.extract_catalog_features(catalog(spark, sf))
     return _b8_out(GroupStatsEncoder(("unit", "brand")).fit(f).transform(f))
 
 
-@register("group_stats_lookup", _b8_sql(f"NOT {HOLD}", HOLD))
+@register("group_stats_lookup", lambda: _b8_sql(f"NOT {HOLD}", HOLD))
 def q_group_stats_lookup(spark, sf):
     f = FB.extract_catalog_features(catalog(spark, sf))
     h = holdout_flag(F.col("sample_id"))
@@ -299,17 +306,17 @@ def q_group_stats_lookup(spark, sf):
 
 # --- C: splits and encoders -----------------------------------------------------
 
-@register("kfold_assign", f"SELECT p_partkey AS sample_id, {O.fold('p_partkey')} AS fold FROM part")
+@register("kfold_assign", lambda: f"SELECT p_partkey AS sample_id, {O.fold('p_partkey')} AS fold FROM part")
 def q_kfold_assign(spark, sf):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("sample_id"), hash_fold(F.col("p_partkey")).alias("fold"))
 
 
-@register("holdout_split", f"SELECT p_partkey AS sample_id, CAST({O.holdout('p_partkey')} AS INTEGER) AS is_holdout FROM part")
+@register("holdout_split", lambda: f"SELECT p_partkey AS sample_id, CAST({O.holdout('p_partkey')} AS INTEGER) AS is_holdout FROM part")
 def q_holdout_split(spark, sf):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("sample_id"), holdout_flag(F.col("p_partkey")).cast("int").alias("is_holdout"))
 
 
-@register("stratified_folds", _with(CAT, "cuts AS (SELECT quantile_cont(price, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS c FROM catalog)") + f"""
+@register("stratified_folds", lambda: _with(CAT, "cuts AS (SELECT quantile_cont(price, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS c FROM catalog)") + f"""
 SELECT sample_id, CAST(len(list_filter(c, lambda x: x < price)) AS INTEGER) AS stratum, {O.fold('sample_id')} AS fold
 FROM catalog, cuts""")
 def q_stratified_folds(spark, sf):
@@ -354,7 +361,7 @@ def _oof_sql(rounded: bool = True) -> str:
     return _with(*ctes) + "SELECT fo.sample_id, " + select
 
 
-@register("target_encode_oof", _oof_sql())
+@register("target_encode_oof", lambda: _oof_sql())
 def q_target_encode_oof(spark, sf):
     f = FA.extract(catalog(spark, sf))
     out, _ = KFoldTargetEncoder().fit_transform(f)
@@ -381,7 +388,7 @@ def _te_test_sql() -> str:
     return _with(*ctes) + "SELECT te.sample_id, " + ", ".join(sel) + " FROM te, g " + " ".join(joins)
 
 
-@register("target_encode_test", _te_test_sql())
+@register("target_encode_test", lambda: _te_test_sql())
 def q_target_encode_test(spark, sf):
     f = FA.extract(catalog(spark, sf))
     h = holdout_flag(F.col("sample_id"))
@@ -422,7 +429,7 @@ SELECT sample_id,
 FROM x, gmall"""
 
 
-@register("interactions", _interactions_sql())
+@register("interactions", lambda: _interactions_sql())
 def q_interactions(spark, sf):
     feats, _ = FA.AdvancedFeatures().fit_transform(catalog(spark, sf))
     return feats.select("sample_id", *[_rx(c).alias(c) for c in _IX])
@@ -440,13 +447,13 @@ LEFT JOIN codes_unit cu ON cu.v = COALESCE(r.unit, 'Unknown')
 LEFT JOIN codes_brand cb ON cb.v = COALESCE(r.brand, 'Unknown')"""
 
 
-@register("label_encode", _le_sql("true", "true"))
+@register("label_encode", lambda: _le_sql("true", "true"))
 def q_label_encode(spark, sf):
     f = FB.extract_catalog_features(catalog(spark, sf, with_price=False))
     return LabelEncoder(("unit", "brand")).fit(f).transform(f).select("sample_id", "unit_encoded", "brand_encoded")
 
 
-@register("label_encode_unseen", _le_sql(f"NOT {HOLD}", HOLD))
+@register("label_encode_unseen", lambda: _le_sql(f"NOT {HOLD}", HOLD))
 def q_label_encode_unseen(spark, sf):
     f = FB.extract_catalog_features(catalog(spark, sf, with_price=False))
     h = holdout_flag(F.col("sample_id"))
@@ -458,7 +465,7 @@ def q_label_encode_unseen(spark, sf):
 _SC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@register("robust_scale", "WITH q AS (SELECT " + ", ".join(f"quantile_cont({c}, [0.25, 0.5, 0.75]) AS q_{c}" for c in _SC) + " FROM lineitem)\n"
+@register("robust_scale", lambda: "WITH q AS (SELECT " + ", ".join(f"quantile_cont({c}, [0.25, 0.5, 0.75]) AS q_{c}" for c in _SC) + " FROM lineitem)\n"
           "SELECT l_orderkey, l_linenumber, " + ", ".join(
               f"round(({c} - q_{c}[2]) / (CASE WHEN q_{c}[3] - q_{c}[1] = 0 THEN 1.0 ELSE q_{c}[3] - q_{c}[1] END), 6) AS {c}" for c in _SC)
           + " FROM lineitem, q")
@@ -468,7 +475,7 @@ def q_robust_scale(spark, sf):
     return _rounded(model.transform(li), ["l_orderkey", "l_linenumber"], _SC)
 
 
-@register("scaler_quartiles", "SELECT feature, round(q[1], 6) AS q25, round(q[2], 6) AS q50, round(q[3], 6) AS q75 FROM (" + " UNION ALL ".join(
+@register("scaler_quartiles", lambda: "SELECT feature, round(q[1], 6) AS q25, round(q[2], 6) AS q50, round(q[3], 6) AS q75 FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, quantile_cont({c}, [0.25, 0.5, 0.75]) AS q FROM lineitem" for c in _SC) + ")")
 def q_scaler_quartiles(spark, sf):
     li = table(spark, sf, "lineitem")
@@ -486,19 +493,19 @@ def _vocab_sql(p) -> str:
                                        p["strip_accents"], p["stop_words"] is not None)
 
 
-@register("tfidf_vocab", _vocab_sql(TFIDF_A) + "\nSELECT term, idx, df, total_tf, round(idf, 6) AS idf FROM vocab")
+@register("tfidf_vocab", lambda: _vocab_sql(TFIDF_A) + "\nSELECT term, idx, df, total_tf, round(idf, 6) AS idf FROM vocab")
 def q_tfidf_vocab(spark, sf):
     m = TfidfVectorizer(**TFIDF_A).fit(table(spark, sf, "documents"), "doc_id", "text")
     return m.vocab.select("term", "idx", "df", "total_tf", r6("idf").alias("idf"))
 
 
-@register("tfidf_vocab_b", _vocab_sql(TFIDF_B) + "\nSELECT term, idx, df, total_tf, round(idf, 6) AS idf FROM vocab")
+@register("tfidf_vocab_b", lambda: _vocab_sql(TFIDF_B) + "\nSELECT term, idx, df, total_tf, round(idf, 6) AS idf FROM vocab")
 def q_tfidf_vocab_b(spark, sf):
     m = TfidfVectorizer(**TFIDF_B).fit(table(spark, sf, "documents"), "doc_id", "text")
     return m.vocab.select("term", "idx", "df", "total_tf", r6("idf").alias("idf"))
 
 
-@register("tfidf_transform", _vocab_sql(TFIDF_A) + """,
+@register("tfidf_transform", lambda: _vocab_sql(TFIDF_A) + """,
 w AS (SELECT tf._id AS doc_id, vocab.idx, (1.0 + ln(tf.tf)) * vocab.idf AS w FROM tf JOIN vocab USING (term))
 SELECT doc_id, idx, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def q_tfidf_transform(spark, sf):
@@ -523,7 +530,7 @@ def preds(spark, sf) -> DataFrame:
                      (a * (1 + F.col("l_tax"))).alias("p2"), (F.col("l_extendedprice") / (F.col("l_quantity") + 1)).alias("p3"))
 
 
-@register("blend_clamp", "WITH " + PREDS_SQL + """
+@register("blend_clamp", lambda: "WITH " + PREDS_SQL + """
 SELECT l_orderkey, l_linenumber, round(0.33 * p1 + 0.33 * p2 + 0.34 * p3, 6) AS blend,
        round(greatest(0.33 * p1 + 0.33 * p2 + 0.34 * p3 - 5.0, 0.01), 6) AS clamped FROM preds""")
 def q_blend_clamp(spark, sf):
@@ -537,19 +544,19 @@ _GRID_SCORES = ("scores AS (SELECT w1, w2, w3, 100 * avg(CASE WHEN (abs(a) + abs
                 "FROM (SELECT w1, w2, w3, a, (w1 * p1 + w2 * p2 + w3 * p3) / 100.0 AS pr FROM preds, grid) GROUP BY w1, w2, w3)")
 
 
-@register("weight_grid_scores", _with(PREDS_SQL, _GRID, _GRID_SCORES) + "SELECT w1, w2, w3, round(smape, 6) AS smape FROM scores")
+@register("weight_grid_scores", lambda: _with(PREDS_SQL, _GRID, _GRID_SCORES) + "SELECT w1, w2, w3, round(smape, 6) AS smape FROM scores")
 def q_weight_grid_scores(spark, sf):
     s = E.weight_scores(preds(spark, sf), "a", "p1", "p2", "p3")
     return s.select("w1", "w2", "w3", r6("smape").alias("smape"))
 
 
-@register("weight_grid_best", _with(PREDS_SQL, _GRID, _GRID_SCORES) + "SELECT w1, w2, w3, round(smape, 6) AS smape FROM scores ORDER BY round(smape, 9), w1, w2 LIMIT 1")
+@register("weight_grid_best", lambda: _with(PREDS_SQL, _GRID, _GRID_SCORES) + "SELECT w1, w2, w3, round(smape, 6) AS smape FROM scores ORDER BY round(smape, 9), w1, w2 LIMIT 1")
 def q_weight_grid_best(spark, sf):
     s = E.weight_scores(preds(spark, sf), "a", "p1", "p2", "p3").withColumn("smape", rnd("smape", 9))
     return E.best_weights(s).select("w1", "w2", "w3", r6("smape").alias("smape"))
 
 
-@register("smape_metrics", "WITH " + PREDS_SQL + """
+@register("smape_metrics", lambda: "WITH " + PREDS_SQL + """
 SELECT round(100 * avg(CASE WHEN (abs(a) + abs(p3)) / 2 = 0 THEN 0 ELSE abs(a - p3) / ((abs(a) + abs(p3)) / 2) END), 6) AS smape_guarded,
        round(100 * avg(CASE WHEN (abs(a) + abs(p3)) / 2 = 0 THEN NULL ELSE abs(p3 - a) / ((abs(a) + abs(p3)) / 2) END), 6) AS smape_unguarded
 FROM preds""")
@@ -558,7 +565,7 @@ def q_smape_metrics(spark, sf):
     return r.select(r6("smape_guarded").alias("smape_guarded"), r6("smape_unguarded").alias("smape_unguarded"))
 
 
-@register("evaluate", "WITH " + PREDS_SQL + """, b AS (SELECT a, 0.33 * p1 + 0.33 * p2 + 0.34 * p3 AS p FROM preds)
+@register("evaluate", lambda: "WITH " + PREDS_SQL + """, b AS (SELECT a, 0.33 * p1 + 0.33 * p2 + 0.34 * p3 AS p FROM preds)
 SELECT round(avg(abs(a - p)), 6) AS mae, round(sqrt(avg((a - p) * (a - p))), 6) AS rmse,
        round(1 - sum((a - p) * (a - p)) / (var_pop(a) * count(a)), 6) AS r2,
        round(100 * avg(CASE WHEN (abs(a) + abs(p)) / 2 = 0 THEN NULL ELSE abs(p - a) / ((abs(a) + abs(p)) / 2) END), 6) AS smape
@@ -596,7 +603,7 @@ def _ridge_sql() -> str:
                                                 "round(c3, 4) AS c3, round(stack_smape, 4) AS stack_smape FROM ic, sc")
 
 
-@register("ridge_stack", _ridge_sql())
+@register("ridge_stack", lambda: _ridge_sql())
 def q_ridge_stack(spark, sf):
     r = E.ridge_stack_report(preds(spark, sf), "a", ("p1", "p2", "p3"))
     return r.select(*[rnd(c, 4).alias(c) for c in ("intercept", "c1", "c2", "c3", "stack_smape")])
@@ -620,7 +627,7 @@ PRED_SQL = _with(CAT, CAT_A, *[f"m_{k} AS (SELECT {k}, avg(price) AS m_{k} FROM
                  "FROM cat_a LEFT JOIN m_unit USING (unit) LEFT JOIN m_brand USING (brand) LEFT JOIN m_pack_qty USING (pack_qty))")
 
 
-@register("contract_check", PRED_SQL + """
+@register("contract_check", lambda: PRED_SQL + """
 SELECT (SELECT count(*) FROM catalog) AS n_in, count(*) AS n_out, count(DISTINCT sample_id) AS n_out_keys,
        count(*) FILTER (WHERE price IS NULL OR isnan(price)) AS n_null_values,
        (SELECT count(*) FROM catalog c WHERE NOT EXISTS (SELECT 1 FROM pr WHERE pr.sample_id = c.sample_id)) AS n_missing_keys,
@@ -630,7 +637,7 @@ def q_contract_check(spark, sf):
     return V.contract_report(catalog(spark, sf, with_price=False), catalog_predictions(spark, sf))
 
 
-@register("prediction_summary", PRED_SQL + """
+@register("prediction_summary", lambda: PRED_SQL + """
 SELECT count(price) AS n, round(min(price), 6) AS min_price, round(max(price), 6) AS max_price,
        round(avg(price), 6) AS mean_price, round(median(price), 6) AS median_price FROM pr""")
 def q_prediction_summary(spark, sf):
@@ -638,12 +645,12 @@ def q_prediction_summary(spark, sf):
     return s.select("n", *[r6(c).alias(c) for c in ("min_price", "max_price", "mean_price", "median_price")])
 
 
-@register("preview", PRED_SQL + "SELECT sample_id, round(price, 6) AS price FROM pr ORDER BY sample_id LIMIT 10")
+@register("preview", lambda: PRED_SQL + "SELECT sample_id, round(price, 6) AS price FROM pr ORDER BY sample_id LIMIT 10")
 def q_preview(spark, sf):
     return V.preview(catalog_predictions(spark, sf)).select("sample_id", r6("price").alias("price"))
 
 
-@register("image_manifest", """
+@register("image_manifest", lambda: """
 SELECT min(url) AS image_link, regexp_extract(url, '([^/]+)/*$', 1) AS filename, false AS "exists"
 FROM pages WHERE url IS NOT NULL GROUP BY regexp_extract(url, '([^/]+)/*$', 1)""")
 def q_image_manifest(spark, sf):
@@ -652,7 +659,7 @@ def q_image_manifest(spark, sf):
 
 # --- S1 / S4: product CSV round trip ---------------------------------------------------------
 
-@register("csv_roundtrip", _with(CAT) + "SELECT sample_id, catalog_content, image_link, round(price, 6) AS price FROM catalog")
+@register("csv_roundtrip", lambda: _with(CAT) + "SELECT sample_id, catalog_content, image_link, round(price, 6) AS price FROM catalog")
 def q_csv_roundtrip(spark, sf):
     """Write the catalog as product CSV (multi-line quoted text) into the
     shared checkpoint folder and read it back with the product reader."""
@@ -735,13 +742,13 @@ def _a_frame_sql(train: bool) -> str:
     return _with(*ctes) + "SELECT sample_id, " + ", ".join(cols) + " FROM x"
 
 
-@register("features_a_train", _a_frame_sql(True))
+@register("features_a_train", lambda: _a_frame_sql(True))
 def q_features_a_train(spark, sf):
     feats, _ = FA.AdvancedFeatures().fit_transform(catalog(spark, sf))
     return _a_frame_out(feats)
 
 
-@register("features_a_test", _a_frame_sql(False))
+@register("features_a_test", lambda: _a_frame_sql(False))
 def q_features_a_test(spark, sf):
     cat = catalog(spark, sf)
     h = holdout_flag(F.col("sample_id"))
@@ -775,7 +782,7 @@ def _b_matrix_sql() -> str:
     return _with(*ctes) + "SELECT sample_id, " + ", ".join(filled) + " FROM m"
 
 
-@register("features_b_matrix", _b_matrix_sql())
+@register("features_b_matrix", lambda: _b_matrix_sql())
 def q_features_b_matrix(spark, sf):
     ex = FB.ProductFeatureExtractor()
     feats = ex.fit_transform(catalog(spark, sf), use_tfidf=False)
@@ -786,7 +793,7 @@ def q_features_b_matrix(spark, sf):
     return X.select("sample_id", *[F.col(c) if c in _B_INT else r6(c).alias(c) for c in names])
 
 
-@register("tfidf_item_names", "WITH " + CAT + ",\n" + O.extract_b_cte() + ",\n" + O.tfidf_vocab_sql(
+@register("tfidf_item_names", lambda: "WITH " + CAT + ",\n" + O.extract_b_cte() + ",\n" + O.tfidf_vocab_sql(
     "cat_b", "sample_id", "item_name", 100, (1, 2), 5, 1.0, False, True)
     + """,
 w AS (SELECT tf._id AS sample_id, vocab.idx, tf.tf * vocab.idf AS w FROM tf JOIN vocab USING (term))
@@ -800,7 +807,7 @@ def q_tfidf_item_names(spark, sf):
 
 # --- P4 ratio features and A4 category list ---------------------------------------------------------
 
-@register("ratio_features", _with(CAT, CAT_B) + f"""
+@register("ratio_features", lambda: _with(CAT, CAT_B) + f"""
 SELECT sample_id, round({O.ieee_divide('value_filled', 'pack_quantity')}, 6) AS value_pack_ratio,
        round(CAST(item_name_length AS DOUBLE) / CAST(item_name_word_count + 1 AS DOUBLE), 6) AS avg_word_length,
        concat_ws('_', unit, brand) AS unit_brand
@@ -810,7 +817,7 @@ def q_ratio_features(spark, sf):
     return f.select("sample_id", r6("value_pack_ratio").alias("value_pack_ratio"), r6("avg_word_length").alias("avg_word_length"), "unit_brand")
 
 
-@register("category_values", _with(CAT, CAT_A) + """
+@register("category_values", lambda: _with(CAT, CAT_A) + """
 SELECT 'unit' AS col, unit AS cat FROM (SELECT DISTINCT unit FROM cat_a)
 UNION ALL SELECT 'brand', brand FROM (SELECT DISTINCT brand FROM cat_a)
 UNION ALL SELECT 'pack_qty', CAST(pack_qty AS VARCHAR) FROM (SELECT DISTINCT pack_qty FROM cat_a)""")
@@ -824,7 +831,7 @@ def q_category_values(spark, sf):
 
 # --- exact quantiles on large / hot groups ------------------------------------------------------
 
-@register("unit_price_quartiles", """
+@register("unit_price_quartiles", lambda: """
 WITH u AS (SELECT l_returnflag, l_extendedprice / l_quantity AS up FROM lineitem)
 SELECT 'all' AS grp, round(quantile_cont(up, 0.25), 6) AS q25, round(quantile_cont(up, 0.5), 6) AS q50,
        round(quantile_cont(up, 0.75), 6) AS q75 FROM u
@@ -846,7 +853,7 @@ def q_unit_price_quartiles(spark, sf):
 
 # --- S12: dataset shape report --------------------------------------------------------------------
 
-@register("shape_report", "WITH " + CAT + ",\n" + O.extract_a_cte() + ",\n" + O.tfidf_vocab_sql(
+@register("shape_report", lambda: "WITH " + CAT + ",\n" + O.extract_a_cte() + ",\n" + O.tfidf_vocab_sql(
     "cat_a", "sample_id", "item_name", 150, (1, 3), 3, 0.85, True, True) + """
 SELECT (SELECT count(*) FROM catalog) AS n_rows, 40 AS n_numeric, 16 AS n_keyword, 7 AS n_category,
        (SELECT CAST(count(*) AS INTEGER) FROM vocab) AS n_text,
@@ -879,7 +886,7 @@ SELECT d.doc_id, """ + cols + """
 FROM documents d LEFT JOIN wl w ON w.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 
-@register("tfidf_dense", _dense_sql())
+@register("tfidf_dense", lambda: _dense_sql())
 def q_tfidf_dense(spark, sf):
     """Every document with ``text_0..text_{k-1}`` (vocabulary order), zeros
     where a term is absent; the vocabulary holds ``max_features`` terms at
