@@ -6,6 +6,7 @@ counts are BIGINT, so results compare by value.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -238,7 +239,7 @@ def _stats_query(key: str):
 
 
 for _k, _n in (("unit", "group_stats_unit"), ("brand", "group_stats_brand"), ("pack_qty", "group_stats_pack")):
-    register(_n, _stats_sql(_k))(_stats_query(_k))
+    register(_n, functools.partial(_stats_sql, _k))(_stats_query(_k))
 
 
 @register("global_stats", lambda: _with(CAT) + "SELECT round(avg(price), 6) AS global_mean, round(median(price), 6) AS global_median FROM catalog")
