@@ -6,9 +6,12 @@ helpers exist for tests, the bench and examples.
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -75,3 +78,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written state."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@functools.lru_cache(maxsize=1)
+def _package_archive() -> str:
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="fennec-zip-")) / "fennec.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*")):
+            if f.suffix in (".py", ".txt"):
+                z.write(f, f.relative_to(root.parent))
+    return str(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: unless it lies where they look
+    anyway (the working folder or PYTHONPATH), Spark sends them an archive of it."""
+    root = str(Path(__file__).resolve().parent.parent)
+    places = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if root not in [os.path.realpath(p) for p in places if p]:
+        spark.sparkContext.addPyFile(_package_archive())
