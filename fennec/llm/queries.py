@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import sql, winnowing
+from . import fertility, sql, winnowing
 
 QUERIES = {}
 ORACLE = {}
@@ -21,3 +21,12 @@ def op2_decontamination(spark, sf_dir):
 
 QUERIES["op2_decontamination"] = op2_decontamination
 ORACLE["op2_decontamination"] = sql.DECONTAMINATION
+
+
+def op10_fertility(spark, sf_dir):
+    return fertility.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_tokens", "chars_per_token", "chars_per_token_2", "fallback_share", "token_entropy", "band_group")
+
+
+QUERIES["op10_fertility"] = op10_fertility

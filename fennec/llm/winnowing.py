@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, ASCII_UPPER, let, row_key
+from .common import ASCII_LOWER, ASCII_UPPER, let, row_key, written
 
 #: Everything that separates words once A-Z is lower case (fixed value).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,13 +35,12 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(low, SEPARATORS), "")
 
 
-def _grams(ws: Column, k: int) -> Column:
-    """Hash of each run of ``k`` words."""
-    hashed = F.transform(ws, lambda w: F.xxhash64(w))
+def _grams(hashed: Column, k: int) -> Column:
+    """Hash of each run of ``k`` words (given as hashes)."""
     rolled = let(hashed, lambda h: F.transform(
         F.sequence(F.lit(0), F.size(h) - k),
         lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)])))
-    return F.when(F.size(ws) >= k, rolled).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(hashed) >= k, rolled).otherwise(F.array().cast("array<bigint>"))
 
 
 def _kept(grams: Column, w: int) -> Column:
@@ -55,42 +54,51 @@ def _kept(grams: Column, w: int) -> Column:
 
 
 def fingerprints(df: DataFrame, keep: list[str], length: int) -> DataFrame:
-    """``keep`` + ``__w`` (words), ``__p`` (position), ``__h`` (hash): one row per
-    fingerprint; rows with fewer than ``length`` words give one row of nulls."""
+    """``keep`` + ``__h`` (hash), ``__p`` (position) and ``__c``, the hashes of the
+    words from ``length - k`` before to ``length - 1`` after the position (null
+    beyond the text): one row per fingerprint of ``__w``; a text of fewer than
+    ``length`` words gives one row of nulls.
+
+    A row carries its own neighbourhood and never the whole text, which would
+    be copied once per fingerprint.
+    """
     k = min(GRAM, length)
-    staged = df.select(*keep, "__w").select(*keep, "__w", _grams(F.col("__w"), k).alias("__g"))
-    staged = staged.select(*keep, "__w", "__g", _kept(F.col("__g"), length - k + 1).alias("__ps"))
+    ext = length - k
+    nulls = F.array_repeat(F.lit(None).cast("bigint"), ext)
+    staged = df.select(*keep, F.transform("__w", lambda w: F.xxhash64(w)).alias("__wh"))
+    staged = staged.select(*keep, "__wh", _grams(F.col("__wh"), k).alias("__g"))
+    staged = staged.select(*keep, "__wh", "__g", _kept(F.col("__g"), length - k + 1).alias("__ps"))
+    prints = let(F.concat(nulls, "__wh", nulls), lambda wide: let(F.col("__g"), lambda g: F.transform(
+        "__ps", lambda p: F.struct(F.get(g, p).alias("h"), p.alias("p"), F.slice(wide, p + 1, 2 * ext + k).alias("c")))))
     # the outer form keeps the optimizer from adding a filter that would repeat the work above
-    return staged.select(*keep, "__w", "__g", F.explode_outer("__ps").alias("__p")).select(
-        *keep, "__w", "__p", F.get("__g", F.col("__p")).alias("__h"))
+    return staged.select(*keep, F.explode_outer(prints).alias("__f")).select(
+        *keep, F.col("__f.h").alias("__h"), F.col("__f.p").alias("__p"), F.col("__f.c").alias("__c"))
 
 
-def _equal_run(a, b, ext: int) -> Column:
-    """How many of the ``ext`` pairs ``a(d), b(d)``, d = 1.., are equal before the first that is not."""
-    if ext == 0:
+def _leading(flags: Column, n: int) -> Column:
+    """How many of the ``n`` flags stand before the first false one."""
+    if n == 0:
         return F.lit(0)
-    flags = F.transform(F.sequence(F.lit(1), F.lit(ext)), lambda d: F.coalesce(a(d) == b(d), F.lit(False)))
-    return let(F.array_position(flags, False).cast("int"), lambda x: F.when(x == 0, F.lit(ext)).otherwise(x - 1))
+    return let(F.array_position(flags, False).cast("int"), lambda x: F.when(x == 0, F.lit(n)).otherwise(x - 1))
 
 
 def _hits(docs: DataFrame, items: DataFrame, length: int, block_rows: int) -> list[DataFrame]:
     """Spans of document words shared with items, for items whose windows have ``length`` words."""
     k = min(GRAM, length)
     ext = length - k
-    bench = fingerprints(items, ["__item"], length).where(F.col("__h").isNotNull()).select(
-        "__item", "__h",
-        F.transform(F.sequence(F.lit(1 - ext), F.lit(length)), lambda d: F.get("__w", F.col("__p") + d - 1)).alias("__ctx"))
+    bench = written(fingerprints(items, ["__item"], length).where(F.col("__h").isNotNull()).select(
+        "__item", "__h", F.col("__c").alias("__ic")), "bench-prints")
     blocks = max(1, -(-bench.count() // block_rows))
     prints = fingerprints(docs, ["__k"], length)
     out = []
     for block in range(blocks):
         part = bench if blocks == 1 else bench.where(F.pmod(F.hash("__h"), F.lit(blocks)) == block)
-        joined = prints.join(F.broadcast(part), "__h")
-        at = F.col("__p")
-        left = _equal_run(lambda d: F.get("__w", at - d), lambda d: F.get("__ctx", F.lit(ext) - d), ext)
-        right = _equal_run(lambda d: F.get("__w", at + k - 1 + d), lambda d: F.get("__ctx", F.lit(ext + k - 1) + d), ext)
-        same = F.slice("__w", at + 1, k) == F.slice("__ctx", ext + 1, k)
-        runs = joined.select("__k", "__item", "__p", F.when(same, left).alias("__l"), F.when(same, right).alias("__r"))
+        same = F.zip_with("__c", "__ic", lambda a, b: F.coalesce(a == b, F.lit(False)))
+        joined = prints.join(F.broadcast(part), "__h").select("__k", "__item", "__p", same.alias("__same"))
+        gram = F.forall(F.slice("__same", ext + 1, k), lambda x: x)
+        left = _leading(F.reverse(F.slice("__same", 1, ext)), ext)
+        right = _leading(F.slice("__same", ext + k + 1, ext), ext)
+        runs = joined.select("__k", "__item", "__p", F.when(gram, left).alias("__l"), F.when(gram, right).alias("__r"))
         out.append(runs.where(F.col("__l") + F.col("__r") + k >= length).select(
             "__k", "__item", (F.col("__p") - F.col("__l")).alias("s"), (F.col("__p") + k - 1 + F.col("__r")).alias("e")))
     return out
