@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.tables import table
-from . import fertility, sql, winnowing
+from . import fertility, sql, template_html, token_store, winnowing
 
 QUERIES = {}
 ORACLE = {}
@@ -30,3 +31,19 @@ def op10_fertility(spark, sf_dir):
 
 
 QUERIES["op10_fertility"] = op10_fertility
+
+
+def op8_main_text(spark, sf_dir):
+    return template_html.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op8_main_text"] = op8_main_text
+
+
+def op1_token_store(spark, sf_dir):
+    path = scratch_path(spark, "token-store")
+    token_store.write_store(table(spark, sf_dir, "documents"), path)
+    return token_store.read_store(spark, path)
+
+
+QUERIES["op1_token_store"] = op1_token_store
