@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import fertility, sql, template_html, token_store, winnowing
+from . import fertility, line_chunks, sql, template_html, token_store, winnowing
 
 QUERIES = {}
 ORACLE = {}
@@ -47,3 +47,11 @@ def op1_token_store(spark, sf_dir):
 
 
 QUERIES["op1_token_store"] = op1_token_store
+
+
+def op9_line_chunks(spark, sf_dir):
+    return line_chunks.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("__removed").alias("n_removed"), "text")
+
+
+QUERIES["op9_line_chunks"] = op9_line_chunks

@@ -37,7 +37,9 @@ from .arrow import WordCache, pieces
 
 HINT_EVERY = 256
 #: White space of the tokenizer's splitter (fixed values: Unicode White_Space).
-_SPLIT = re.compile("[\t-\r \x85\xa0  -     　]+")
+WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_SPLIT = re.compile("[" + "".join(map(chr, WHITE_SPACE)) + "]+")
+#: What str.split() takes for white space besides.
 _ODD = re.compile("[\x1c-\x1f]")
 
 
