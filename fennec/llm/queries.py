@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import fertility, line_chunks, sql, template_html, token_store, winnowing
+from . import fertility, line_chunks, sentence_spans, sql, template_html, token_store, winnowing
 
 QUERIES = {}
 ORACLE = {}
@@ -55,3 +55,10 @@ def op9_line_chunks(spark, sf_dir):
 
 
 QUERIES["op9_line_chunks"] = op9_line_chunks
+
+
+def op6_sentence_spans(spark, sf_dir):
+    return sentence_spans.dedup_spans(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_sentence_spans"] = op6_sentence_spans
