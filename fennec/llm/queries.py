@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import fertility, line_chunks, sentence_spans, sql, template_html, token_store, winnowing
+from . import fertility, line_chunks, pseudonyms, sentence_spans, sql, template_html, token_store, winnowing
 
 QUERIES = {}
 ORACLE = {}
@@ -62,3 +62,13 @@ def op6_sentence_spans(spark, sf_dir):
 
 
 QUERIES["op6_sentence_spans"] = op6_sentence_spans
+
+#: The key of the registered query; users pass their own.
+PSEUDONYM_KEY = "key of the registered query"
+
+
+def op5_pseudonyms(spark, sf_dir):
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+QUERIES["op5_pseudonyms"] = op5_pseudonyms
