@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import fertility, line_chunks, pseudonyms, sentence_spans, sql, template_html, token_store, winnowing
+from . import fertility, line_chunks, lsh_forest, pseudonyms, sentence_spans, sql, template_html, token_store, winnowing
 
 QUERIES = {}
 ORACLE = {}
@@ -72,3 +72,10 @@ def op5_pseudonyms(spark, sf_dir):
 
 
 QUERIES["op5_pseudonyms"] = op5_pseudonyms
+
+
+def op7_lsh_forest(spark, sf_dir):
+    return lsh_forest.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+QUERIES["op7_lsh_forest"] = op7_lsh_forest
