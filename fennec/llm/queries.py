@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import fertility, line_chunks, lsh_forest, pseudonyms, sentence_spans, sql, template_html, token_store, winnowing
+from . import crf_language, fertility, line_chunks, lsh_forest, pseudonyms, sentence_spans, sql, template_html, token_store, winnowing
 
 QUERIES = {}
 ORACLE = {}
@@ -79,3 +79,13 @@ def op7_lsh_forest(spark, sf_dir):
 
 
 QUERIES["op7_lsh_forest"] = op7_lsh_forest
+
+
+def op3_crf_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = crf_language.train(docs)
+    found = crf_language.identify(docs, model)
+    return found.select("doc_id", crf_language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+QUERIES["op3_crf_language"] = op3_crf_language
