@@ -39,9 +39,11 @@ class WordCache(dict):
             self.clear()
             self.chars = 0
         got = list(map(self.get, words))
-        if None in got:
-            new = list({w for w, g in zip(words, got) if g is None})
+        missing = [i for i, g in enumerate(got) if g is None]
+        if missing:
+            new = list(dict.fromkeys([words[i] for i in missing]))
             self.update(zip(new, self.compute(new)))
             self.chars += sum(map(len, new))
-            got = list(map(self.__getitem__, words))
+            for i in missing:
+                got[i] = self[words[i]]
         return got

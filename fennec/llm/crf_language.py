@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .arrow import pieces
 
@@ -314,14 +315,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit(samples) if samples else None
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``id_col``, ``lang_pred``, ``score``.
+def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
+             keep: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs``: ``id_col`` (or all columns of ``keep``),
+    ``lang_pred``, ``score``.
 
     Null texts and texts without letters are ``und`` with score 0, as is every
     text where nothing could be learned.  Ties go to the first language in
     alphabetical order.  Repeated rows stay; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = keep or [id_col]
+    count = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,9 +334,10 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
             for part, texts in pieces(batch, "__t", 6_000_000):
                 languages, scores = predict(shared.value, texts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("__id"), pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
-                    names=["__id", "lang_pred", "score"])
+                    [*part.columns[:count], pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*part.schema.names[:count], "lang_pred", "score"])
 
-    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
-    out = d.mapInArrow(run, f"__id {d.schema['__id'].dataType.simpleString()}, lang_pred string, score double")
-    return out.withColumnRenamed("__id", id_col)
+    # numbered names: columns of the caller may be called anything
+    d = docs.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(names)], F.col(text_col).alias("__t"))
+    out = T.StructType([*d.schema.fields[:count], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return d.mapInArrow(run, out).toDF(*names, "lang_pred", "score")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import crf_language, fertility, line_chunks, lsh_forest, pseudonyms, sentence_spans, sql, template_html, token_store, winnowing
+from . import (crf_language, fertility, line_chunks, lsh_forest, nbest, pseudonyms, sentence_spans, sql, template_html,
+               token_store, winnowing)
 
 QUERIES = {}
 ORACLE = {}
@@ -89,3 +90,10 @@ def op3_crf_language(spark, sf_dir):
 
 
 QUERIES["op3_crf_language"] = op3_crf_language
+
+
+def op4_nbest(spark, sf_dir):
+    return nbest.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op4_nbest"] = op4_nbest
