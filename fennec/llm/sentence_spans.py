@@ -24,13 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_dim
 from .arrow import pieces
 from .common import written
 
 MIN_WORDS = 25
-#: The table of repeated hashes is broadcast up to so many rows (16 bytes each).
-BROADCAST_ROWS = 500_000
 #: Sentences end at these marks before white space, and at line ends.
 _BREAK = re.compile(r"(?<=[.!?。！？])\s+|\n\s*")
 #: Odd multipliers of the two polynomial span hashes, modulo 2**64.
@@ -128,13 +125,13 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = d.withColumn("__k", F.xxhash64("__id", "__t"))
     rows = written(_span_rows(d, min_words), "spans")
     often = written(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "spans-often")
-    known = often.count()
     # the second hash tells apart what the first one confuses
     place = F.struct("__id", "__k", "s", "e").alias("place")
-    again = join_dim(rows, often, "h", "left_semi", known, BROADCAST_ROWS).select("h", "g", place)
+    # shuffle joins at every size (Spark splits a hash that many spans share, and broadcasts what it has measured to be small)
+    again = rows.join(often, "h", "left_semi").select("h", "g", place)
     again = written(again, "spans-again")
     first = written(again.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").drop("n"), "spans-first")
-    later = join_dim(again, first, ["h", "g"], "inner", first.count(), BROADCAST_ROWS // 4).where(F.col("place") != F.col("first"))
+    later = again.join(first, ["h", "g"]).where(F.col("place") != F.col("first"))
     gone = later.select("place.__id", "place.__k", F.struct(F.col("place.s").alias("s"), F.col("place.e").alias("e")).alias("x"))
     gone = gone.groupBy(F.col("__id").alias("__i"), F.col("__k").alias("__j")).agg(F.collect_set("x").alias("gone"))
     joined = d.join(gone, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__k") == F.col("__j")), "left").select("__id", "__t", "gone")
