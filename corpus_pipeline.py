@@ -22,8 +22,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one language: those without letters, and those in which no
     language has half of the words, go."""
     model = crf_language.train(docs)
-    found = crf_language.identify(docs, model, keep=docs.columns)
-    return found.where((F.col("lang_pred") != crf_language.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
+    found = crf_language.identify(docs, model, keep=docs.columns, out=("__lang", "__share"))
+    return found.where((F.col("__lang") != crf_language.UNDETERMINED) & (F.col("__share") >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,8 +26,12 @@ def row_key(*cols: Column) -> Column:
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit("fennec"), *reversed(cols)).alias("b"))
 
 
-def hash128(*cols: Column) -> Column:
-    return row_key(*cols)
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """``docs`` with numbered column names, so that no name of the caller's can
+    clash with one of the operator's; the new name of each old one; and the
+    columns that give the old names back."""
+    new = [f"__c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*new), dict(zip(docs.columns, new)), [F.col(n).alias(c) for n, c in zip(new, docs.columns)]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -316,9 +316,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
-    """One row per row of ``docs``: ``id_col`` (or all columns of ``keep``),
-    ``lang_pred``, ``score``.
+             keep: list[str] | None = None, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """One row per row of ``docs``: ``id_col`` (or all columns of ``keep``), and
+    language and score under the names ``out``.
 
     Null texts and texts without letters are ``und`` with score 0, as is every
     text where nothing could be learned.  Ties go to the first language in
@@ -339,5 +339,5 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
     # numbered names: columns of the caller may be called anything
     d = docs.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(names)], F.col(text_col).alias("__t"))
-    out = T.StructType([*d.schema.fields[:count], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return d.mapInArrow(run, out).toDF(*names, "lang_pred", "score")
+    schema = T.StructType([*d.schema.fields[:count], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return d.mapInArrow(run, schema).toDF(*names, *out)

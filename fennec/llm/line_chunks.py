@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash128, let, row_key, written
+from .common import let, numbered, row_key, written
 
 WINDOW = 2
 DIVISOR = 4
@@ -66,7 +66,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     c = c.where((F.col("n") >= min_lines) & (F.length("chunk") >= min_chars))
     # (id, key, at) is the order in which a chunk's first occurrence is found
     place = F.struct("__id", "__k", "at")
-    hashed = written(c.select(place.alias("place"), "n", hash128(F.col("chunk")).alias("h")), "chunk-hashes")
+    hashed = written(c.select(place.alias("place"), "n", row_key(F.col("chunk")).alias("h")), "chunk-hashes")
     often = written(hashed.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "chunk-often")
     again = hashed.join(often, "h", "left_semi").select(F.col("place.__k").alias("__k"), F.col("place.at").alias("at")).distinct()
     # byte comparison: group the repeated chunks by their whole text
@@ -86,16 +86,18 @@ def without(text: Column, gone: Column) -> Column:
     return F.when(gone.isNull(), text).otherwise(kept)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "__removed", **kw) -> DataFrame:
     """``docs``, all columns and rows, with ``text_col`` less its repeated chunks,
-    and ``__removed`` (lines removed).
+    and ``removed_col`` (lines removed).
 
     Null texts stay null, empty ones empty; a document all of whose chunks
-    repeat becomes empty.  Null ids come before others.
+    repeat becomes empty.  Null ids come before others.  Columns of any other
+    name are passed through.
     """
-    gone = repeated(docs, id_col, text_col, **kw)
-    keyed = docs.withColumn("__k", row_key(F.col(id_col), F.col(text_col)))
-    joined = keyed.join(gone, "__k", "left")
-    removed = F.coalesce(F.aggregate("gone", F.lit(0), lambda a, g: a + g["n"]), F.lit(0))
-    return joined.withColumn("__removed", removed.cast("bigint")).withColumn(
-        text_col, without(F.col(text_col), F.col("gone"))).select(*docs.columns, "__removed")
+    inner, at, back = numbered(docs)
+    gone = repeated(inner, at[id_col], at[text_col], **kw)
+    joined = inner.withColumn("__k", row_key(F.col(at[id_col]), F.col(at[text_col]))).join(gone, "__k", "left")
+    removed = F.coalesce(F.aggregate("gone", F.lit(0), lambda a, g: a + g["n"]), F.lit(0)).cast("bigint").alias("__removed")
+    new = without(F.col(at[text_col]), F.col("gone")).alias(at[text_col])
+    shown = joined.select(*[new if c == at[text_col] else F.col(c) for c in inner.columns], removed)
+    return shown.select(*back, F.col("__removed").alias(removed_col))

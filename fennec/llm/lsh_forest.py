@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import WordCache, pieces
-from .common import written
+from .common import numbered, written
 from .graph import connected_components
 
 SHINGLE_WORDS = 5
@@ -231,12 +231,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows of ``docs``, all columns as they are, less all but one (the least
     id) of each class; documents without words all stay."""
-    rows = written(classes(docs, id_col, text_col, **kw), "forest-classes-of")
-    heads = rows.where(F.col(id_col).eqNullSafe(F.col("class_id")) & (F.col("__k") == F.col("first_k")))
-    keyed = docs.withColumn("__k", F.xxhash64(F.col(id_col), F.col(text_col)))
-    wanted = heads.select(F.col(id_col).alias("__i"), F.col("__k").alias("__j")).distinct()
-    kept = keyed.join(wanted, keyed[id_col].eqNullSafe(F.col("__i")) & (keyed["__k"] == F.col("__j")), "left_semi")
-    again = heads.where("n_copies > 1").groupBy(id_col, "__k").count().where("count > 1")
+    inner, at, back = numbered(docs)
+    ident, text = at[id_col], at[text_col]
+    rows = written(classes(inner, ident, text, **kw), "forest-classes-of")
+    heads = rows.where(F.col(ident).eqNullSafe(F.col("class_id")) & (F.col("__k") == F.col("first_k")))
+    wanted = heads.select(F.col(ident).alias("__i"), F.col("__k").alias("__j")).distinct()
+    keyed = inner.withColumn("__k", F.xxhash64(ident, text))
+    kept = keyed.join(wanted, F.col(ident).eqNullSafe(F.col("__i")) & (F.col("__k") == F.col("__j")), "left_semi")
+    again = heads.where("n_copies > 1").groupBy(ident, "__k").count().where("count > 1")
     if not again.isEmpty():  # repeated rows: equal id and text
-        kept = kept.dropDuplicates([id_col, text_col])
-    return kept.select(*docs.columns)
+        has_words = F.regexp_extract(F.lower(text), r"[\p{L}\p{N}]", 0) != ""
+        some = kept.where(has_words).dropDuplicates([ident, text])
+        kept = some.unionByName(kept.where(F.coalesce(~has_words, F.lit(True))))
+    return kept.select(*back)

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, ASCII_UPPER, let, row_key, written
+from .common import ASCII_LOWER, ASCII_UPPER, let, numbered, row_key, written
 
 #: Everything that separates words once A-Z is lower case (fixed value).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -155,7 +155,8 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
 
 def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows of ``docs``, all columns as they are, without the contaminated ones."""
-    report = contamination(docs, bench, id_col, text_col, **kw)
+    inner, at, back = numbered(docs)
+    report = contamination(inner, bench, at[id_col], at[text_col], **kw)
     bad = report.where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select("__k").distinct()
-    keyed = docs.withColumn("__k", row_key(F.col(id_col), F.col(text_col)))
-    return keyed.join(bad, "__k", "left_anti").select(*[keyed[c] for c in docs.columns])
+    keyed = inner.withColumn("__k", row_key(F.col(at[id_col]), F.col(at[text_col])))
+    return keyed.join(bad, "__k", "left_anti").select(*back)
