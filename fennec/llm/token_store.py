@@ -23,11 +23,13 @@ import functools
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,21 +101,84 @@ class EliasFano:
         return (place - i) << l | (chunk & ((1 << l) - 1))
 
 
+#: Texts of these characters only are lower-cased and cut at the ends of words
+#: before they are looked up: up to Latin Extended-B (but for the dotted capital
+#: I), dashes, quotes and the euro sign, where lower case commutes with NFC.
+#: Control characters 1C to 1F are white space for some splitters only.
+_NOT_PLAIN = r"[^\x{00}-\x{1B}\x{20}-\x{12F}\x{131}-\x{24F}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{20AC}]|<\|"
+#: A mark after a letter starts a token of its own (apostrophes may not).
+_MARK = r"([a-z\x{DF}-\x{F6}\x{F8}-\x{FF}])([.,;:!?])"
+
+
+#: Words of these letters are single units for the tokenizer's model.
+_LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, (*range(0xE0, 0xF7), *range(0xF8, 0x100))))
+_LETTERS_ONLY = re.compile(f"[{_LETTERS}]+").fullmatch
+
+
 @functools.lru_cache(maxsize=2)
 def _words(path: str) -> WordCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    kind = np.uint16 if t.get_vocab_size() <= 1 << 16 else np.uint32
-    return WordCache(lambda new: [np.array(e.ids, kind).tobytes() for e in t.encode_batch_fast(new, add_special_tokens=False)])
-
-
-def _encode(cache: WordCache, text: str) -> bytes:
-    """Ids of a text.  No token of the vocabulary spans white space, so its
-    words are encoded one by one, each distinct word once."""
-    words = [w for w in _SPLIT.split(text) if w] if _ODD.search(text) else text.split()
-    return b"".join(cache.values_of(words))
+    code = "H" if t.get_vocab_size() <= 1 << 16 else "I"
+
+    def whole(words: list[str]) -> list[bytes]:
+        return [array(code, e.ids).tobytes() for e in t.encode_batch_fast(words, add_special_tokens=False)]
+
+    # a word of plain letters needs no normalizing and splitting: it goes to the model as the splitter would spell it
+    spelling = {ord(c): t.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _LETTERS} if t.pre_tokenizer else {}
+    model = t.model
+
+    def direct(word: str) -> bytes:
+        return array(code, [x.id for x in model.tokenize(word.translate(spelling))]).tobytes()
+
+    probe = ["the", "zwölfé", _LETTERS, "qxzj"]
+    if [direct(w) for w in probe] != whole(probe):
+        return WordCache(whole, 600_000)
+
+    def compute(new: list[str]) -> list[bytes]:
+        plain = list(map(_LETTERS_ONLY, new))
+        rest = iter(whole([w for w, p in zip(new, plain) if not p]))
+        return [direct(w) if p else next(rest) for w, p in zip(new, plain)]
+
+    return WordCache(compute, 600_000)
+
+
+def _encode(cache: WordCache, texts: pa.Array, kind: np.dtype, end_id: int) -> list[bytes]:
+    """Ids of each text and the end id.  No token of the vocabulary spans white
+    space, nor the end of a word and the mark after it, so the parts between
+    are encoded one by one, each distinct part once."""
+    plain = pc.invert(pc.match_substring_regex(texts, _NOT_PLAIN))
+    out: list[bytes] = [b""] * len(texts)
+    end = np.array([end_id], kind).tobytes()
+    for i in np.flatnonzero(~np.asarray(plain)):
+        text = texts[int(i)].as_py()
+        words = [w for w in _SPLIT.split(text) if w] if _ODD.search(text) else text.split()
+        out[i] = b"".join(cache.values_of(words)) + end
+    where = np.flatnonzero(np.asarray(plain))
+    if not len(where):
+        return out
+    spaced = pc.replace_substring_regex(pc.utf8_lower(texts.filter(plain)), _MARK, r"\1 \2")
+    parts = pc.utf8_split_whitespace(spaced)
+    counts, parts = np.asarray(pc.list_value_length(parts)), parts.flatten()
+    # the splitter gives empty parts at the ends of a text
+    filled = np.asarray(pc.greater(pc.binary_length(parts), 0))
+    owner = np.repeat(np.arange(len(where)), counts)[filled]
+    coded = parts.filter(pa.array(filled)).dictionary_encode()
+    values = cache.values_of(coded.dictionary.to_pylist())
+    length = np.fromiter(map(len, values), np.int64, len(values)) // kind.itemsize
+    flat, start = np.frombuffer(b"".join(values), kind), np.concatenate([[0], np.cumsum(length)])[:-1]
+    code = np.asarray(coded.indices)
+    n = length[code]
+    first = np.concatenate([[0], np.cumsum(n)])[:-1]
+    ids = flat[np.repeat(start[code] - first, n) + np.arange(int(n.sum()))]
+    ends = np.cumsum(np.bincount(owner, n, len(where)).astype(np.int64))
+    whole = np.insert(ids, ends, end_id).tobytes()
+    bounds = (np.concatenate([[0], ends + np.arange(1, len(where) + 1)]) * kind.itemsize).tolist()
+    for i, a, b in zip(where.tolist(), bounds, bounds[1:]):
+        out[i] = whole[a:b]
+    return out
 
 
 def _width(path: str) -> int:
@@ -137,7 +202,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     width = _width(tokenizer)
-    end = np.array([end_id], f"<u{width}").tobytes()
+    kind = np.dtype(f"<u{width}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, shard = _words(tokenizer), TaskContext.get().partitionId()
@@ -166,8 +231,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         for batch in batches:
             for part, texts in pieces(batch, "__t"):
                 keys, since = part.column("__id"), 0
-                for i, text in enumerate(texts):
-                    parts.append(_encode(cache, text) + end)
+                for i, ids in enumerate(_encode(cache, pa.array(texts, pa.string()), kind, end_id)):
+                    parts.append(ids)
                     size += len(parts[-1]) // width
                     if size >= block_tokens:
                         names.append(keys.slice(since, i + 1 - since))
