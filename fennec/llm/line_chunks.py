@@ -67,7 +67,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     # (id, key, at) is the order in which a chunk's first occurrence is found
     place = F.struct("__id", "__k", "at")
     hashed = written(c.select(place.alias("place"), "n", row_key(F.col("chunk")).alias("h")), "chunk-hashes")
-    often = written(hashed.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "chunk-often")
+    often = hashed.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
     again = hashed.join(often, "h", "left_semi").select(F.col("place.__k").alias("__k"), F.col("place.at").alias("at")).distinct()
     # byte comparison: group the repeated chunks by their whole text
     texts = written(c.join(again, ["__k", "at"], "left_semi").select(place.alias("place"), "n", "chunk"), "chunk-texts")

@@ -179,7 +179,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     met = nodes.select("node", F.posexplode("labels").alias("tree", "label"))
     buckets = met.groupBy("tree", "label").agg(F.min("node").alias("b"), F.count("*").alias("m")).where("m > 1").drop("m")
     groups = connected_components(met.join(buckets, ["tree", "label"]).select(F.col("node").alias("a"), "b"), "forest-groups")
-    groups = written(groups.join(nodes.select("node", "first", "n"), "node"), "forest-members")
+    groups = groups.join(nodes.select("node", "first", "n"), "node")
     parts = groups.groupBy("component").agg(F.greatest(
         F.ceil(F.count("*") / block_nodes), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("blocks"))
     placed = groups.join(parts, "component").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
@@ -217,8 +217,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     member = connected_components(found.select("a", "b"), "forest-classes")
     counted = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
     table = nodes.select("node", "first", "copies").join(member, "node", "left").join(counted, "node", "left")
-    table = written(table.select("node", "first", "copies", F.coalesce("component", "node").alias("class"),
-                                 F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links")), "forest-table")
+    table = table.select("node", "first", "copies", F.coalesce("component", "node").alias("class"),
+                         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
     heads = table.groupBy("class").agg(F.min("first").alias("head"))
     full = table.join(heads, "class").select("node", "head", "copies", "n_links")
     out = seen.select("__id", "__k", "node").join(full, "node", "left")

@@ -90,12 +90,13 @@ class Segmenter:
         """The text as it is segmented: spaces as marks, one before the text."""
         return SPACE + text.replace(SPACE, _OWN_MARK).replace(" ", SPACE) if text else ""
 
-    def segments(self, marked: list[str]) -> tuple[list[str], list[int]]:
-        """All texts cut where no piece can span; and where each text's segments end."""
-        whole = "".join(marked)
-        if not whole:
-            return [], [0] * len(marked)
-        p = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+    def _cuts(self, marked: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The code points of all texts, where segments start and end (no piece
+        spans a cut), and where each text's cuts end."""
+        p = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
+        limits = np.cumsum([len(m) for m in marked])
+        if not len(p):
+            return p, np.zeros(1, np.int64), limits
         a, b = p[:-1], p[1:]
         small = (a < 1024) & (b < 1024)
         together = self.near[np.where(small, a, 0), np.where(small, b, 0)] & small
@@ -104,12 +105,16 @@ class Segmenter:
             key = a[rest].astype(np.int64) << 21 | b[rest]
             at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
             together[rest] = self.pairs[at] == key
-        limits = np.cumsum([len(m) for m in marked])
-        inner = limits[(limits > 0) & (limits < len(p))]
-        together[inner - 1] = False
+        together[limits[(limits > 0) & (limits < len(p))] - 1] = False
         cuts = np.concatenate([[0], np.flatnonzero(~together) + 1, [len(p)]])
+        return p, cuts, np.searchsorted(cuts, limits)
+
+    def segments(self, marked: list[str]) -> tuple[list[str], list[int]]:
+        """The segments of all texts, and where each text's end."""
+        whole = "".join(marked)
+        _, cuts, limits = self._cuts(marked)
         places = cuts.tolist()
-        return [whole[i:j] for i, j in zip(places, places[1:])], np.searchsorted(cuts, limits).tolist()
+        return [whole[i:j] for i, j in zip(places, places[1:])], limits.tolist()
 
     def _bytes_of(self, c: str) -> tuple[int, ...]:
         return tuple(self.byte_id[x] for x in (SPACE if c == _OWN_MARK else c).encode())
@@ -284,23 +289,49 @@ class Segmenter:
 
     def encode_all(self, texts: list[str], n: int = 1) -> Iterator[list[tuple[float, bytes]]]:
         """Per text the ``n`` best segmentations: total score and ids (bytes of
-        ``kind``).  Segments new to the cache are scored for all texts at once."""
-        segs, limits = self.segments([self.marked(t) for t in texts])
-        got = self.best_of.values_of(segs)
-        at = 0
-        for end in limits:
-            yield self._ranked(segs[at:end], got[at:end], n)
-            at = end
-
-    def _ranked(self, segs: list[str], got: list[tuple[bytes, float, float]], n: int) -> list[tuple[float, bytes]]:
-        if not segs:
-            return [(0.0, b"")]
-        parts, scores, regrets = zip(*got)
-        total = sum(scores)
-        ranked = [(total, b"".join(parts))]
-        if n == 1:
+        ``kind``).  Segments are told apart in Arrow; those new to the cache
+        are scored for all texts at once."""
+        marked = [self.marked(t) for t in texts]
+        owned = [_OWN_MARK in m for m in marked]  # these hold what Arrow's strings cannot
+        segs, limits = self.segments([m for m, o in zip(marked, owned) if o])
+        slow = (segs, limits, self.best_of.values_of(segs))
+        plain = [m for m, o in zip(marked, owned) if not o]
+        p, cuts, ends = self._cuts(plain)
+        width = 1 + (p >= 0x80).astype(np.int64) + (p >= 0x800) + (p >= 0x10000)
+        offsets = np.concatenate([[0], np.cumsum(width)])[cuts]
+        count = len(cuts) - 1
+        coded = pa.LargeStringArray.from_buffers(
+            count, pa.py_buffer(offsets.tobytes()), pa.py_buffer("".join(plain).encode())).dictionary_encode()
+        code = np.asarray(coded.indices)
+        values = self.best_of.values_of(coded.dictionary.to_pylist())
+        parts, scores, regrets = zip(*values) if values else ((), (), ())
+        size = self.kind.itemsize
+        length = np.fromiter(map(len, parts), np.int64, len(parts)) // size
+        flat, start = np.frombuffer(b"".join(parts), self.kind), np.concatenate([[0], np.cumsum(length)])
+        took = length[code]
+        first = np.concatenate([[0], np.cumsum(took)])
+        ids = flat[np.repeat(start[code] - first[:-1], took) + np.arange(int(first[-1]))].tobytes()
+        score, regret = np.array(scores)[code] if count else np.zeros(0), np.array(regrets)[code] if count else np.zeros(0)
+        names = coded.dictionary
+        quick, late, begin = 0, 0, 0
+        for own in owned:
+            if own:
+                a, b = (slow[1][late - 1] if late else 0), slow[1][late]
+                late += 1
+                own_parts, own_scores, own_regrets = zip(*slow[2][a:b])
+                yield self._ranked(float(sum(own_scores)), b"".join(own_parts), np.array(own_regrets),
+                                   np.concatenate([[0], np.cumsum([len(x) for x in own_parts])]), lambda k, a=a: segs[a + k], n)
+            else:
+                a, b = begin, int(ends[quick])
+                quick, begin = quick + 1, b
+                yield self._ranked(float(score[a:b].sum()), ids[first[a] * size:first[b] * size], regret[a:b],
+                                   (first[a:b + 1] - first[a]) * size, lambda k, a=a: names[int(code[a + k])].as_py(), n)
+
+    def _ranked(self, total: float, best: bytes, regret: np.ndarray, offsets: np.ndarray, segment, n: int) -> list[tuple[float, bytes]]:
+        """The best path and, by the segments of least regret, the next ones."""
+        ranked = [(total, best)]
+        if n == 1 or not len(regret):
             return ranked
-        regret = np.array(regrets)
         few = np.flatnonzero(np.isfinite(regret))
         if len(few) > n - 1:
             limit = np.partition(regret[few], n - 2)[n - 2]
@@ -308,14 +339,15 @@ class Segmenter:
             few = few[np.argsort(regret[few], kind="stable")][:n - 1]
         options: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
         for k in sorted(few.tolist()):
-            top = self._nbest_cached(segs[k], n)
+            top = self._nbest_cached(segment(k), n)
             options = sorted(((loss + top[0][0] - t[0], (*chosen, (k, r)) if r else chosen)
                               for loss, chosen in options for r, t in enumerate(top)), key=lambda o: o[0])[:n]
         for loss, chosen in options[1:]:
-            new = list(parts)
+            pieces_, at = [], 0
             for k, r in chosen:
-                new[k] = np.array(self._nbest_cached(segs[k], n)[r][1], self.kind).tobytes()
-            ranked.append((total - loss, b"".join(new)))
+                pieces_ += best[at:offsets[k]], np.array(self._nbest_cached(segment(k), n)[r][1], self.kind).tobytes()
+                at = offsets[k + 1]
+            ranked.append((total - loss, b"".join([*pieces_, best[at:]])))
         return ranked
 
     def _nbest_cached(self, seg: str, n: int):
@@ -346,8 +378,8 @@ def _default_model() -> str:
 def digests(docs: DataFrame, n: int = N_BEST, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
     """One row per document: ``id_col``, ``n_found`` (segmentations, at most
     ``n``), and by rank ``scores``, ``n_pieces``, ``ids_crc32`` (of the ids as
-    little-endian unsigned 32-bit integers); ``round_trip``: all of them decode
-    to the text.
+    little-endian unsigned 32-bit integers); ``round_trip``: the best one decodes to
+    the text.
 
     Null texts are empty; an empty text has one segmentation without pieces.
     Repeated rows stay; other columns are ignored.
@@ -363,7 +395,7 @@ def digests(docs: DataFrame, n: int = N_BEST, id_col: str = "doc_id", text_col:
                     ranked = [(score, np.frombuffer(ids, seg.kind)) for score, ids in best]
                     rows.append((len(ranked), [r[0] for r in ranked], [len(r[1]) for r in ranked],
                                  [zlib.crc32(r[1].astype("<u4").tobytes()) for r in ranked],
-                                 all(seg.decode(r[1].tolist()) == text for r in ranked)))
+                                 seg.decode(ranked[0][1].tolist()) == text))
                 kinds = [pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("__id"), *[pa.array(c, t) for c, t in zip(zip(*rows), kinds)]],

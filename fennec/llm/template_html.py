@@ -85,7 +85,7 @@ def _hash(parent: int, text: str) -> int:
 
 
 def _attributes(raw: str) -> tuple[str, list[str], str, bool]:
-    """Class names, the words of class and id, role, hidden."""
+    """Class and id, the words of both, role, hidden."""
     names, words, role, hidden = "", [], "", False
     if raw and not raw.isspace():
         for key, a, b, c in _ATTR.findall(raw):
@@ -96,8 +96,8 @@ def _attributes(raw: str) -> tuple[str, list[str], str, bool]:
                 role = value.lower()
             else:
                 words += [w.lower() for w in _WORD.findall(value)]
-                if key == "class":
-                    names = ".".join(sorted(value.split()))
+                # an id with digits is one page's own
+                names += "." + ".".join(sorted(value.split())) if key == "class" else "" if any(c.isdigit() for c in value) else "#" + value
     return names, words, role, hidden
 
 
@@ -215,7 +215,7 @@ def walk(page: str, template: frozenset[int] = frozenset()) -> tuple[Counter, li
             continue
         parent = stack[-1]
         names, words, role, hidden = _attributes(raw)
-        path = _hash(parent.path, f"{tag}.{names}")
+        path = _hash(parent.path, tag + names)
         if tag not in INLINE:
             flush()
             tokens[path] += 1
