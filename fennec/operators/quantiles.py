@@ -9,23 +9,31 @@ result by histogram refinement instead:
    needed order statistics are ranks ``floor((n-1)p)`` and ``ceil((n-1)p)``.
 2. each unresolved rank has a closed value interval ``[a, b]`` and the number
    of the group's values below ``a``.  One pass buckets the values inside the
-   active intervals into ``bins`` equal-width buckets and counts them
-   (map-side partial aggregation, so a shuffle carries at most
-   intervals x bins rows).  The rank's bucket becomes the new interval
-   ``[bucket min, bucket max]``; bucket bounds are monotone in the value, so
-   the interval holds exactly that bucket's values.
+   active intervals and counts them (map-side partial aggregation, so a
+   shuffle carries at most intervals x bins rows).  The rank's bucket becomes
+   the new interval ``[bucket min, bucket max]``; buckets are monotone in the
+   value, so the interval holds exactly that bucket's values.
 3. a rank is resolved when its interval holds one distinct value, or when it
    holds at most ``small`` values: those are then sorted in one task each
    (bounded by ``small``).
 
-Each round is a scan of the input filtered to the active intervals; the
-small interval tables are checkpointed to the session's checkpoint folder
-between rounds.
+The buckets make the number of rounds a constant whatever the values are:
+an interval across zero or up to an infinity is first cut by sign and
+infinity; one whose ends differ by more than a factor of two is cut in equal
+steps of the logarithm (the exponents of all doubles fit in one such round);
+any other holds at most 2**53 doubles and is cut in equal widths, which leaves
+none undivided after five rounds of 4096 bins.
+
+Values are never shuffled by key: the groups above ``small`` values are at most
+a ``small``-th of the rows in number, and that list is what is joined.  Each
+round is a scan of the input filtered to the active intervals; the small
+interval tables are checkpointed to the session's checkpoint folder between
+rounds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import join_dim
@@ -54,7 +62,6 @@ def exact_quantiles(
     keys: list[str] | tuple[str, ...] = (),
     bins: int | None = None,
     small: int | None = None,
-    max_rounds: int = 64,
     out: str = "q",
     write_input: bool = True,
 ) -> DataFrame:
@@ -81,16 +88,33 @@ def exact_quantiles(
         # whose buffer is bounded by the group size
         res = vals.groupBy(*gkeys).agg(pct)
         return res.drop("_g") if not keys else res
-    base = _cut(sizes)
-    small_res = vals.join(base.where(F.col("_n") <= F.lit(small)).select(*gkeys), gkeys, "left_semi").groupBy(*gkeys).agg(pct)
-    big = base.where(F.col("_n") > F.lit(small))
-    big_res = _refine(vals.join(big.select(*gkeys), gkeys, "left_semi"), big, gkeys, probs, bins, small, max_rounds, out, write_input)
-    res = small_res.unionByName(big_res)
+    big = _cut(sizes.where(F.col("_n") > F.lit(small)))
+    n_big = big.count()
+    names = big.select(*gkeys)
+    rest = join_dim(vals, names, gkeys, "left_anti", known_rows=n_big)
+    hot = join_dim(vals, names, gkeys, "left_semi", known_rows=n_big)
+    big_res = _refine(hot, big, gkeys, probs, bins, small, out, write_input)
+    res = rest.groupBy(*gkeys).agg(pct).unionByName(big_res)
     return res.drop("_g") if not keys else res
 
 
+def _bucket(v: Column, a: Column, b: Column, bins: int) -> Column:
+    """Bucket of ``v`` in ``[a, b]``: monotone in ``v`` (so is the logarithm, by
+    the platform's definition)."""
+    inf = F.lit(float("inf"))
+    sign = F.when(v == -inf, 0).when(v < 0, 1).when(v == 0, 2).when(v < inf, 3).otherwise(4)
+
+    def steps(x: Column, lo: Column, hi: Column) -> Column:
+        return F.least(F.floor((x - lo) / ((hi - lo) / F.lit(float(bins)))), F.lit(bins - 1)).cast("int")
+
+    one_sign = ((a > 0) & (b < inf)) | ((b < 0) & (a > -inf))
+    wide = (F.abs(a) > F.abs(b) * 2) | (F.abs(b) > F.abs(a) * 2)
+    log = F.when(a > 0, steps(F.log(v), F.log(a), F.log(b))).otherwise(steps(-F.log(-v), -F.log(-a), -F.log(-b)))
+    return F.when(~one_sign, sign).when(wide, log).otherwise(steps(v, a, b))
+
+
 def _refine(vals: DataFrame, base: DataFrame, gkeys: list[str], probs: list[float], bins: int, small: int,
-            max_rounds: int, out: str, write_input: bool = True) -> DataFrame:
+            out: str, write_input: bool = True) -> DataFrame:
     """Histogram refinement for the groups in ``base`` (``_n``, ``_a``, ``_b``)."""
     if write_input:
         # every round re-reads the values: write the narrow (keys, value) input once
@@ -106,15 +130,14 @@ def _refine(vals: DataFrame, base: DataFrame, gkeys: list[str], probs: list[floa
                               F.lit(0).cast("long").alias("__off"), F.when(F.col("_a") == F.col("_b"), F.col("_a")).alias("__res"),
                               F.lit(False).alias("__final")))
 
-    for _ in range(max_rounds):
+    while True:
         active = cells.where(F.col("__res").isNull() & ~F.col("__final"))
         intervals = _cut(active.select(*gkeys, "__a", "__b").distinct())
         n_int = intervals.count()
         if n_int == 0:
             break
-        width = (F.col("__b") - F.col("__a")) / F.lit(float(bins))
         inside = join_dim(vals, intervals, gkeys, "inner", known_rows=n_int).where((F.col("_v") >= F.col("__a")) & (F.col("_v") <= F.col("__b")))
-        bucket = F.least(F.floor((F.col("_v") - F.col("__a")) / width), F.lit(bins - 1))
+        bucket = _bucket(F.col("_v"), F.col("__a"), F.col("__b"), bins)
         hist = inside.groupBy(*gkeys, "__a", "__b", bucket.alias("_bk")).agg(
             F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
         )
@@ -130,8 +153,6 @@ def _refine(vals: DataFrame, base: DataFrame, gkeys: list[str], probs: list[floa
         )
         done = cells.where(F.col("__res").isNotNull() | F.col("__final"))
         cells = _cut(done.unionByName(step))
-    else:
-        raise RuntimeError("exact_quantiles did not converge")
 
     # final cells: sort their (at most `small`) values and pick the local rank
     fin = cells.where(F.col("__res").isNull() & F.col("__final"))
@@ -155,7 +176,7 @@ def _refine(vals: DataFrame, base: DataFrame, gkeys: list[str], probs: list[floa
     t = targets.withColumn("_lo", F.floor("__h").cast("long")).withColumn("_hi", F.ceil("__h").cast("long"))
     t = t.join(lo, gkeys + ["_lo"]).join(hi, gkeys + ["_hi"])
     frac = F.col("__h") - F.col("_lo").cast("double")
-    qv = F.when(F.col("_lo") == F.col("_hi"), F.col("v_lo")).otherwise(
+    qv = F.when((F.col("_lo") == F.col("_hi")) | (F.col("v_lo") == F.col("v_hi")), F.col("v_lo")).otherwise(
         (F.col("_hi").cast("double") - F.col("__h")) * F.col("v_lo") + frac * F.col("v_hi")
     )
     res = t.groupBy(*gkeys).agg(F.sort_array(F.collect_list(F.struct("__pi", qv.alias("__q")))).alias("_qs"))

@@ -54,3 +54,33 @@ def test_encoder_refined_equals_one_pass(spark, monkeypatch):
     assert len(a) == len(b)
     for x, y in zip(a, b):
         assert x == pytest.approx(y, rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("bins", [4, 64, 4096])
+def test_infinities_and_wide_ranges(spark, bins):
+    inf = float("inf")
+    values = [10.0 ** k for k in range(-300, 300, 7)] + [-(10.0 ** k) for k in range(-300, 300, 11)] + [0.0] * 9
+    values += [5e-324, -5e-324, 1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1.7e308, -1.7e308]
+    for name, extra in (("plus", [inf] * 40), ("minus", [-inf] * 40), ("both", [inf, -inf]), ("none", [])):
+        rows = [(name, v) for v in values + extra]
+        df = spark.createDataFrame(rows, "k string, v double")
+        n = len(rows)
+        probs = [i / (n - 1) for i in (0, 1, n // 3, n // 2, n - 2, n - 1)]
+        got = exact_quantiles(df, "v", probs, ["k"], small=2, bins=bins).first().q
+        want = df.agg(F.percentile("v", probs)).first()[0]
+        assert got == pytest.approx(want, rel=1e-12)
+
+
+def test_values_are_not_shuffled_by_key(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+        df = exact_quantiles(li, "l_extendedprice", [0.5], ["l_returnflag"], small=1000, write_input=False)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        got = {r.l_returnflag: r.q[0] for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "strategy=broadcast" in plan
+    want = {r[0]: r[1] for r in li.groupBy("l_returnflag").agg(F.median("l_extendedprice")).collect()}
+    assert got == pytest.approx(want)
