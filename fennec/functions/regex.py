@@ -70,7 +70,7 @@ def py_regex(pattern: str) -> str:
 
 def nullif_empty(c: Column) -> Column:
     """NULL for NULL and ''; the value otherwise (``regexp_extract`` gives '' on no match)."""
-    return F.when(c != F.lit(""), c)
+    return F.nullif(c, F.lit(""))
 
 
 def py_strip(c: Column) -> Column:

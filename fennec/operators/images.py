@@ -19,6 +19,7 @@ import uuid
 from typing import Callable
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +60,9 @@ def existing_files(spark: SparkSession, folder: str) -> DataFrame:
     """File names already in ``folder`` (binaryFile listing, names only)."""
     try:
         df = spark.read.format("binaryFile").load(folder).select("path")
-    except Exception:  # noqa: BLE001 - missing folder: nothing exists yet
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "filename string")
     return df.select(F.regexp_extract("path", BASENAME, 1).alias("filename"))
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import materialize
 from .joins import fitted_table, join_dim
 
 _LOW33 = (1 << 33) - 1
@@ -24,7 +25,8 @@ def dense_index(values: DataFrame, col: str, out: str = "code") -> DataFrame:
     """``(col, out)`` with ``out`` = rank of the value among the distinct values, from 0."""
     d = values.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
     mid = F.monotonically_increasing_id()
-    d = d.select(col, F.shiftright(mid, 33).alias("_pid"), mid.bitwiseAND(F.lit(_LOW33)).alias("_pos"))
+    # written once: offsets and positions must come from the very same partitions
+    d = materialize(d.select(col, F.shiftright(mid, 33).alias("_pid"), mid.bitwiseAND(F.lit(_LOW33)).alias("_pos")), "sorted_values")
     counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: a bound set by the partition count

@@ -22,6 +22,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import materialize
+from .label_encoder import dense_index
 from ..functions.text import drop_stop_words, english_stop_words, explode_terms, fold_text_frame, ngram_range, word_tokens
 
 
@@ -75,12 +77,12 @@ class TfidfVectorizer:
     def _term_stats(arrays: DataFrame, col: str) -> DataFrame:
         """``(term, df, total_tf)`` in ONE term-keyed aggregation: every
         occurrence (tag 0) and every distinct term of a document (tag 1,
-        ``array_distinct`` inside the row) are unioned and counted.  Map-side
+        ``array_distinct`` inside the row) come from one explode and are counted.  Map-side
         partial aggregation collapses repeats before the shuffle, so the
         shuffle carries distinct terms per task, never (document, term) pairs."""
-        occ = arrays.select(explode_terms(F.col(col)).alias("term"), F.lit(0).alias("_tag"))
-        first = arrays.select(explode_terms(F.array_distinct(col)).alias("term"), F.lit(1).alias("_tag"))
-        rows = occ.unionByName(first).where(F.col("term").isNotNull())
+        tagged = F.concat(F.transform(col, lambda t: F.struct(t.alias("term"), F.lit(0).alias("_tag"))),
+                          F.transform(F.array_distinct(col), lambda t: F.struct(t.alias("term"), F.lit(1).alias("_tag"))))
+        rows = arrays.select(explode_terms(tagged).alias("_e")).select("_e.term", "_e._tag").where(F.col("term").isNotNull())
         return rows.groupBy("term").agg(F.count_if(F.col("_tag") == 1).alias("df"), F.count_if(F.col("_tag") == 0).alias("total_tf"))
 
     def _eligible(self, stats: DataFrame, n_docs) -> DataFrame:
@@ -99,6 +101,7 @@ class TfidfVectorizer:
         lo, hi = self.ngram_range
         if self.max_features is None or lo != 1 or hi < 2:
             return None
+        toks = materialize(toks, "tokens")  # read for the unigrams and for the n-grams: tokenized once
         uni = _cut_small(self._term_stats(toks, "_toks"))
         top = self._eligible(uni, n_docs).orderBy(F.desc("total_tf"), F.asc("term")).limit(self.max_features)
         r = top.agg(F.count(F.lit(1)).alias("k"), F.min("total_tf").alias("L")).first()
@@ -123,10 +126,15 @@ class TfidfVectorizer:
         kept = self._eligible(stats, n_docs)
         if self.max_features is not None:
             kept = kept.orderBy(F.desc("total_tf"), F.asc("term")).limit(self.max_features)
-        # alphabetical column order; the window runs over at most max_features rows
-        idx = F.row_number().over(Window.orderBy("term")) - 1
         idf = F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-        vocab = kept.select("term", idx.cast("int").alias("idx"), "df", "total_tf", idf.alias("idf"))
+        if self.max_features is None:
+            # as many rows as terms: positions by range-sorted partitions, not in one task
+            kept = _cut_small(kept)
+            kept = kept.join(dense_index(kept, "term", "idx"), "term")
+        else:
+            # alphabetical column order; the window runs over at most max_features rows
+            kept = kept.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
+        vocab = kept.select("term", "idx", "df", "total_tf", idf.alias("idf"))
         return TfidfModel(self, vocab, bounded=self.max_features is not None).materialize()
 
 
@@ -136,7 +144,7 @@ FREQUENT_TOKEN_LIMIT = 50_000
 
 
 def _cut_small(df: DataFrame) -> DataFrame:
-    """Unigram statistics are read three times: write them once (reliable
+    """Statistics that are read several times: written once (reliable
     checkpoint into the shared checkpoint folder)."""
     from ..session import ensure_checkpoint_dir
 
@@ -161,7 +169,7 @@ class TfidfModel:
             self._rows = rows
             self._size = len(rows)
         else:
-            self.vocab = self.vocab.checkpoint(eager=True)
+            self.vocab = _cut_small(self.vocab)
             self._size = None
         return self
 

@@ -578,36 +578,29 @@ def q_evaluate(spark, sf):
 
 
 def _ridge_sql() -> str:
-    s = ("agg AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(a) AS sy, sum(p1) AS s0, sum(p2) AS s1, sum(p3) AS s2, "
-         "sum(p1*p1) AS s00, sum(p1*p2) AS s01, sum(p1*p3) AS s02, sum(p2*p2) AS s11, sum(p2*p3) AS s12, sum(p3*p3) AS s22, "
-         "sum(p1*a) AS s0y, sum(p2*a) AS s1y, sum(p3*a) AS s2y FROM preds)")
-    m = ("m AS (SELECT *, s00 - s0*s0/n + 1.0 AS a00, s01 - s0*s1/n AS a01, s02 - s0*s2/n AS a02, "
-         "s11 - s1*s1/n + 1.0 AS a11, s12 - s1*s2/n AS a12, s22 - s2*s2/n + 1.0 AS a22, "
-         "s0y - s0*sy/n AS b0, s1y - s1*sy/n AS b1, s2y - s2*sy/n AS b2 FROM agg)")
-
-    def det(r0, r1, r2):
-        return (f"(({r0[0]})*(({r1[1]})*({r2[2]}) - ({r1[2]})*({r2[1]})) - ({r0[1]})*(({r1[0]})*({r2[2]}) - ({r1[2]})*({r2[0]})) "
-                f"+ ({r0[2]})*(({r1[0]})*({r2[1]}) - ({r1[1]})*({r2[0]})))")
-
-    A = [["a00", "a01", "a02"], ["a01", "a11", "a12"], ["a02", "a12", "a22"]]
-    b = ["b0", "b1", "b2"]
-    d = det(*A)
-    cs = []
-    for k in range(3):
-        Ak = [[b[i] if j == k else A[i][j] for j in range(3)] for i in range(3)]
-        cs.append(f"{det(*Ak)} / {d} AS c{k + 1}")
-    c = "c AS (SELECT n, sy, s0, s1, s2, " + ", ".join(cs) + " FROM m)"
-    ic = "ic AS (SELECT sy/n - (c1*s0/n + c2*s1/n + c3*s2/n) AS intercept, c1, c2, c3 FROM c)"
+    """Gaussian elimination on the centred normal equations (the Spark side uses determinants)."""
+    s = ("a0 AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(a) AS my, avg(p1) AS m0, avg(p2) AS m1, avg(p3) AS m2, "
+         "covar_pop(p1, p1) AS v00, covar_pop(p1, p2) AS v01, covar_pop(p1, p3) AS v02, covar_pop(p2, p2) AS v11, "
+         "covar_pop(p2, p3) AS v12, covar_pop(p3, p3) AS v22, covar_pop(p1, a) AS v0, covar_pop(p2, a) AS v1, covar_pop(p3, a) AS v2 FROM preds)")
+    a = ("a1 AS (SELECT *, n*v00 + 1.0 AS a00, n*v01 AS a01, n*v02 AS a02, n*v11 + 1.0 AS a11, n*v12 AS a12, n*v22 + 1.0 AS a22, "
+         "n*v0 AS b0, n*v1 AS b1, n*v2 AS b2 FROM a0)")
+    e1 = ("e1 AS (SELECT *, a11 - a01*a01/a00 AS d11, a12 - a01*a02/a00 AS d12, a22 - a02*a02/a00 AS d22, "
+          "b1 - a01*b0/a00 AS f1, b2 - a02*b0/a00 AS f2 FROM a1)")
+    e2 = "e2 AS (SELECT *, (f2 - d12*f1/d11) / (d22 - d12*d12/d11) AS c3 FROM e1)"
+    e3 = "e3 AS (SELECT *, (f1 - d12*c3) / d11 AS c2 FROM e2)"
+    e4 = "e4 AS (SELECT *, (b0 - a01*c2 - a02*c3) / a00 AS c1 FROM e3)"
+    ic = "ic AS (SELECT my - (c1*m0 + c2*m1 + c3*m2) AS intercept, c1, c2, c3 FROM e4)"
     sc = ("sc AS (SELECT 100 * avg(CASE WHEN (abs(a) + abs(st)) / 2 = 0 THEN 0 ELSE abs(a - st) / ((abs(a) + abs(st)) / 2) END) AS stack_smape "
           "FROM (SELECT a, intercept + c1*p1 + c2*p2 + c3*p3 AS st FROM preds, ic))")
-    return _with(PREDS_SQL, s, m, c, ic, sc) + ("SELECT round(intercept, 4) AS intercept, round(c1, 4) AS c1, round(c2, 4) AS c2, "
-                                                "round(c3, 4) AS c3, round(stack_smape, 4) AS stack_smape FROM ic, sc")
+    return _with(PREDS_SQL, s, a, e1, e2, e3, e4, ic, sc) + (
+        "SELECT round(intercept, 6) AS intercept, round(c1, 6) AS c1, round(c2, 6) AS c2, "
+        "round(c3, 6) AS c3, round(stack_smape, 6) AS stack_smape FROM ic, sc")
 
 
 @register("ridge_stack", lambda: _ridge_sql())
 def q_ridge_stack(spark, sf):
     r = E.ridge_stack_report(preds(spark, sf), "a", ("p1", "p2", "p3"))
-    return r.select(*[rnd(c, 4).alias(c) for c in ("intercept", "c1", "c2", "c3", "stack_smape")])
+    return r.select(*[r6(c).alias(c) for c in ("intercept", "c1", "c2", "c3", "stack_smape")])
 
 
 # --- S: outputs, checks, images ----------------------------------------------------------

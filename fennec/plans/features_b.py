@@ -91,13 +91,13 @@ class ProductFeatureExtractor:
     def transform(self, df: DataFrame, use_tfidf: bool = True) -> DataFrame:
         """Apply the fitted state (stats lookups, codes, vocabulary)."""
         if not self.fitted:
-            raise ValueError("Extractor not fitted yet! Call fit_transform first.")
+            raise ValueError("transform needs fitted state; call fit_transform before it")
         base = extract_catalog_features(df, self.text_col)
         out = create_ratio_features(self.stats.transform(base))
         out = self.labels.transform(out)
         if use_tfidf:
             if self.tfidf is None:
-                raise ValueError("TF-IDF vectorizer not fitted yet!")
+                raise ValueError("the extractor was fitted without TF-IDF")
             out, _ = self.tfidf.transform_columns(out, self.key, "item_name", prefix="tfidf_")
         return out
 

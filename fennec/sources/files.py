@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -25,9 +26,15 @@ NA_VALUES = [
 
 def read_products(spark: SparkSession, path: str, schema: str = TRAIN_SCHEMA) -> DataFrame:
     """Header CSV with quoted multi-line text; names are checked
-    against the schema (``enforceSchema=False``)."""
+    against the schema (``enforceSchema=False``).
+
+    Every column is read as text first: missing-value spellings (``NA``,
+    ``None``, ``NaN`` ..) become NULL in numeric columns as in text ones, and
+    anything else that is no number fails.  The file is landed as parquet, so
+    later passes don't parse it again."""
+    types = T.StructType.fromDDL(schema)
     raw = (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in types.fields]))
         .option("header", True)
         .option("multiLine", True)
         .option("quote", '"')
@@ -36,8 +43,12 @@ def read_products(spark: SparkSession, path: str, schema: str = TRAIN_SCHEMA) ->
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    strings = [f.name for f in raw.schema.fields if f.dataType.simpleString() == "string"]
-    return raw.withColumns({c: F.when(~F.col(c).isin(NA_VALUES), F.col(c)) for c in strings})
+    def value(f: T.StructField):
+        if isinstance(f.dataType, T.StringType):
+            return F.when(~F.col(f.name).isin(NA_VALUES), F.col(f.name))
+        return F.when(~F.trim(F.col(f.name)).isin(NA_VALUES), F.trim(F.col(f.name))).cast(f.dataType)
+
+    return materialize(raw.select(*[value(f).alias(f.name) for f in types.fields]), "products")
 
 
 def write_predictions(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -5,7 +5,6 @@ once so that joins can broadcast only tables of a known, bounded size."""
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +20,7 @@ def _write(df: DataFrame, path: str) -> None:
 
 def save_extractor(ex: ProductFeatureExtractor, path: str) -> None:
     if not ex.fitted:
-        raise ValueError("Extractor not fitted yet! Call fit_transform first.")
+        raise ValueError("nothing to save: the extractor has no fitted state")
     meta = {"key": ex.key, "text_col": ex.text_col, "stats_keys": list(ex.stats.keys), "label_cols": list(ex.labels.cols),
             "label_fill": ex.labels.fill, "tfidf": None}
     for k in ex.stats.keys:
@@ -75,7 +74,3 @@ def save_weights(spark: SparkSession, weights: dict[str, float], path: str) -> N
 
 def load_weights(spark: SparkSession, path: str) -> dict[str, float]:
     return spark.read.parquet(path).first().asDict()
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(path) if "://" not in path or path.startswith("file:") else True

@@ -31,11 +31,11 @@ def test_tfidf_fit_aggregates_by_term_only(spark):
 
     docs = table(spark, SF, "documents")
     v = TfidfVectorizer()
-    g = v.grams(docs, "doc_id", "text")
-    # the n-gram array is built from a projected token column, and the explode
-    # does not re-run the tokenizer in an inferred filter
-    p = plan(g.select("_id"))
-    assert p.count("regexp_extract_all") <= 1
+    # one tokenization feeds one explode and one aggregation keyed by the term alone
+    stats = v._term_stats(v.grams(docs, "doc_id", "text"), "_grams")
+    p = plan(stats)
+    assert p.count("regexp_extract_all") == 1 and p.count("Generate explode") == 1 and "Union" not in p
+    assert "HashAggregate(keys=[term" in p and p.count("Exchange hashpartitioning(term") == 1 and "doc_id" not in p.split("Exchange")[0]
 
 
 def test_weight_grid_has_no_cartesian_product(spark):

@@ -180,3 +180,52 @@ def test_accent_folding_matches_nfkd_rule(spark):
     one = [r[0] for r in df.orderBy("i").select(fold_accents(F.col("t"))).collect()]
     staged = [r["_t"] for r in fold_text_frame(df.orderBy("i"), F.col("t"), [F.col("i")], lowercase=False).orderBy("i").collect()]
     assert one == staged == [rule(t) for t in texts]
+
+
+def test_numeric_missing_spellings_are_null(spark, tmp_path):
+    from fennec.sources.files import read_products
+
+    path = tmp_path / "in.csv"
+    cells = ["NA", "None", "NaN", "nan", "", "n/a", " 12.5 ", "7"]
+    path.write_text("sample_id,catalog_content,image_link,price\n" + "".join(f'{i},"a\nb",u,{c}\n' for i, c in enumerate(cells)))
+    rows = read_products(spark, str(path)).orderBy("sample_id").collect()
+    assert [r.price for r in rows] == [None] * 6 + [12.5, 7.0] and rows[0].catalog_content == "a\nb"
+    bad = tmp_path / "bad.csv"
+    bad.write_text("sample_id,catalog_content,image_link,price\n1,a,u,cheap\n")
+    try:
+        read_products(spark, str(bad))
+        raise AssertionError("a price that is no number must fail")
+    except Exception as ex:
+        assert "cheap" in str(ex)
+
+
+def test_label_codes_for_any_partitioning(spark):
+    from fennec.operators.label_encoder import dense_index
+
+    values = [f"v{i * 7919 % 1000:04d}" for i in range(3000)] + [None]
+    df = spark.createDataFrame([(v,) for v in values], "c string")
+    want = {v: i for i, v in enumerate(sorted({v for v in values if v}))}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert {r.c: r.code for r in dense_index(df, "c").collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_ridge_keeps_its_digits_far_from_zero(spark):
+    import numpy as np
+
+    from fennec.operators.ensemble import ridge_coefficients
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(2000, 3))
+    y = x @ [0.5, -1.0, 2.0] + rng.normal(size=2000) * 0.1
+    shift = 1e7
+    df = spark.createDataFrame([(float(a + shift), float(b + shift), float(c + shift), float(t + shift)) for (a, b, c), t in zip(x, y)],
+                               "p1 double, p2 double, p3 double, y double")
+    got = ridge_coefficients(df, "y", ("p1", "p2", "p3")).first()
+    xc = x - x.mean(axis=0)
+    want = np.linalg.solve(xc.T @ xc + np.eye(3), xc.T @ (y - y.mean()))
+    assert np.allclose([got.c1, got.c2, got.c3], want, atol=1e-6)
