@@ -28,16 +28,28 @@ def pieces(batch: pa.RecordBatch, col: str, max_chars: int = PIECE_CHARS) -> Ite
 
 class WordCache(dict):
     """What is computed once per word, emptied when it holds too much.
-    ``compute`` maps a list of words to a list of values."""
+    ``compute`` maps a list of words to a list of values.
+
+    A Python worker runs tasks of many stages; the cache in use empties the one
+    used before it, so that only one operator's words stay in memory."""
+
+    in_use: "WordCache | None" = None
 
     def __init__(self, compute, max_words: int = 300_000, max_chars: int = 12_000_000):
         super().__init__()
         self.compute, self.max_words, self.max_chars, self.chars = compute, max_words, max_chars, 0
 
+    def empty(self) -> None:
+        self.clear()
+        self.chars = 0
+
     def values_of(self, words: list[str]) -> list:
+        if WordCache.in_use is not self:
+            if WordCache.in_use is not None:
+                WordCache.in_use.empty()
+            WordCache.in_use = self
         if len(self) > self.max_words or self.chars > self.max_chars:
-            self.clear()
-            self.chars = 0
+            self.empty()
         got = list(map(self.get, words))
         missing = [i for i, g in enumerate(got) if g is None]
         if missing:

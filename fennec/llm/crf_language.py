@@ -37,7 +37,7 @@ EXCERPT_CHARS = 900
 LEXICON_COUNT = 3
 UNDETERMINED = "und"
 #: Letters scored at once.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -331,7 +331,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # long sequences set the number of steps, so many texts go together
-            for part, texts in pieces(batch, "__t", 6_000_000):
+            for part, texts in pieces(batch, "__t", 3_000_000):
                 languages, scores = predict(shared.value, texts)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:count], pa.array(languages, pa.string()), pa.array(scores, pa.float64())],

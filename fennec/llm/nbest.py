@@ -351,7 +351,7 @@ class Segmenter:
         return ranked
 
     def _nbest_cached(self, seg: str, n: int):
-        if len(self.nbest_of) > 50_000:
+        if len(self.nbest_of) > 5_000:
             self.nbest_of.clear()
         got = self.nbest_of.get((seg, n))
         if got is None:
