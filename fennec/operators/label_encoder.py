@@ -21,17 +21,23 @@ from .joins import fitted_table, join_dim
 _LOW33 = (1 << 33) - 1
 
 
-def dense_index(values: DataFrame, col: str, out: str = "code") -> DataFrame:
-    """``(col, out)`` with ``out`` = rank of the value among the distinct values, from 0."""
-    d = values.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
+def global_position(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """``df`` with ``out`` = position of the row (from 0) in the order of ``order``."""
     mid = F.monotonically_increasing_id()
+    d = df.orderBy(*order).withColumns({"_pid": F.shiftright(mid, 33), "_pos": mid.bitwiseAND(F.lit(_LOW33))})
     # written once: offsets and positions must come from the very same partitions
-    d = materialize(d.select(col, F.shiftright(mid, 33).alias("_pid"), mid.bitwiseAND(F.lit(_LOW33)).alias("_pos")), "sorted_values")
+    d = materialize(d, "sorted_values")
     counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: a bound set by the partition count
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return d.join(F.broadcast(offsets), "_pid").select(col, (F.col("_off") + F.col("_pos")).cast("int").alias(out))
+    return d.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.col("_pos")).drop("_pid", "_pos", "_off")
+
+
+def dense_index(values: DataFrame, col: str, out: str = "code") -> DataFrame:
+    """``(col, out)`` with ``out`` = rank of the value among the distinct values, from 0."""
+    d = global_position(values.select(col).where(F.col(col).isNotNull()).distinct(), [col], out)
+    return d.select(col, F.col(out).cast("int").alias(out))
 
 
 @dataclass

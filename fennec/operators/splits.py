@@ -46,12 +46,17 @@ def train_test_split(df: DataFrame, key: str, test_size: float = 0.12, seed: int
 def stratified_folds(
     df: DataFrame, key: str, target: str, n_strata: int = 10, n_folds: int = 5, seed: int = DEFAULT_SEED
 ) -> DataFrame:
-    """``stratum`` = target quantile band (exact cut points), ``fold`` = hash fold.
+    """``stratum`` = target quantile band (exact cut points), ``fold`` =
+    position modulo ``n_folds`` in the order of (stratum, key hash, key).
 
     The cut points are exact quantiles (``n_strata - 1`` numbers, applied as
     literals); the stratum of a row is the number of cut points below its
-    target.  Folds are hash folds, so each stratum is split evenly in law.
+    target.  Every stratum's rows stand together in that order, so its folds
+    differ by one row at most.  Positions come from range-sorted partitions
+    that are written once and the partitions' sizes (one row each): no window
+    holds a band in one task.
     """
+    from .label_encoder import global_position
     from .quantiles import column_quantiles
 
     probs = [i / n_strata for i in range(1, n_strata)]
@@ -59,4 +64,6 @@ def stratified_folds(
     y = F.col(target)
     below = [F.when(F.lit(c) < y, 1).otherwise(0) for c in cuts]
     stratum = sum(below[1:], below[0]).cast("int") if below else F.lit(0)
-    return df.withColumn("stratum", stratum).withColumn("fold", hash_fold(F.col(key), n_folds, seed))
+    banded = df.withColumn("stratum", stratum).withColumn("_h", key_hash(F.col(key), f":{seed}"))
+    placed = global_position(banded, ["stratum", "_h", key], "_at")
+    return placed.withColumn("fold", (F.col("_at") % n_folds).cast("int")).drop("_h", "_at")

@@ -19,6 +19,7 @@ from ..operators import ensemble as E
 from ..operators import evaluation as V
 from ..operators import images as I
 from ..operators.label_encoder import LabelEncoder
+from ..operators.models import with_log_label
 from ..operators.scaler import RobustScaler
 from ..operators.splits import hash_fold, holdout_flag, stratified_folds
 from ..operators.quantiles import column_medians
@@ -318,8 +319,8 @@ def q_holdout_split(spark, sf):
 
 
 @register("stratified_folds", lambda: _with(CAT, "cuts AS (SELECT quantile_cont(price, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS c FROM catalog)") + f"""
-SELECT sample_id, CAST(len(list_filter(c, lambda x: x < price)) AS INTEGER) AS stratum, {O.fold('sample_id')} AS fold
-FROM catalog, cuts""")
+SELECT sample_id, stratum, CAST((row_number() OVER (ORDER BY stratum, {O.key_hash('sample_id', ':42')}, sample_id) - 1) % 5 AS INTEGER) AS fold
+FROM (SELECT sample_id, CAST(len(list_filter(c, lambda x: x < price)) AS INTEGER) AS stratum FROM catalog, cuts)""")
 def q_stratified_folds(spark, sf):
     return stratified_folds(catalog(spark, sf), "sample_id", "price").select("sample_id", "stratum", "fold")
 
@@ -577,7 +578,7 @@ def q_evaluate(spark, sf):
     return r.select(*[r6(c).alias(c) for c in ("mae", "rmse", "r2", "smape")])
 
 
-def _ridge_sql() -> str:
+def _ridge_sql(select: str | None = None) -> str:
     """Gaussian elimination on the centred normal equations (the Spark side uses determinants)."""
     s = ("a0 AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(a) AS my, avg(p1) AS m0, avg(p2) AS m1, avg(p3) AS m2, "
          "covar_pop(p1, p1) AS v00, covar_pop(p1, p2) AS v01, covar_pop(p1, p3) AS v02, covar_pop(p2, p2) AS v11, "
@@ -592,7 +593,7 @@ def _ridge_sql() -> str:
     ic = "ic AS (SELECT my - (c1*m0 + c2*m1 + c3*m2) AS intercept, c1, c2, c3 FROM e4)"
     sc = ("sc AS (SELECT 100 * avg(CASE WHEN (abs(a) + abs(st)) / 2 = 0 THEN 0 ELSE abs(a - st) / ((abs(a) + abs(st)) / 2) END) AS stack_smape "
           "FROM (SELECT a, intercept + c1*p1 + c2*p2 + c3*p3 AS st FROM preds, ic))")
-    return _with(PREDS_SQL, s, a, e1, e2, e3, e4, ic, sc) + (
+    return _with(PREDS_SQL, s, a, e1, e2, e3, e4, ic, sc) + (select or
         "SELECT round(intercept, 6) AS intercept, round(c1, 6) AS c1, round(c2, 6) AS c2, "
         "round(c3, 6) AS c3, round(stack_smape, 6) AS stack_smape FROM ic, sc")
 
@@ -651,6 +652,43 @@ def q_image_manifest(spark, sf):
     return I.manifest(table(spark, sf, "pages"), "url")
 
 
+# files that are there already: those of every third page
+_THERE = "page_id % 3 = 0"
+
+
+@register("images_to_fetch", lambda: f"""
+SELECT min(url) AS image_link, regexp_extract(url, '([^/]+)/*$', 1) AS filename
+FROM pages WHERE url IS NOT NULL AND regexp_extract(url, '([^/]+)/*$', 1) NOT IN
+  (SELECT regexp_extract(url, '([^/]+)/*$', 1) FROM pages WHERE {_THERE} AND url IS NOT NULL)
+GROUP BY regexp_extract(url, '([^/]+)/*$', 1)""")
+def q_images_to_fetch(spark, sf):
+    """The manifest without the files that exist."""
+    pages = table(spark, sf, "pages")
+    return I.to_fetch(pages, "url", I.manifest(pages.where(_THERE), "url"))
+
+
+@register("log_target", lambda: _with(CAT) + "SELECT sample_id, round(ln(1 + price), 6) AS label, round(exp(ln(1 + price)) - 1, 6) AS price FROM catalog")
+def q_log_target(spark, sf):
+    """M1 + M2: the log label and back."""
+    t = with_log_label(catalog(spark, sf).select("sample_id", "price"))
+    return t.select("sample_id", r6("label").alias("label"), r6(F.expm1("label")).alias("price"))
+
+
+@register("stack_switch", lambda: _ridge_sql("""
+SELECT t.threshold, round(blend, 6) AS blend_smape, round(stack_smape, 6) AS stack_smape, (blend > threshold AND stack_smape < blend) AS stacked
+FROM (VALUES (1.0), (5.0), (1000.0)) t(threshold), sc,
+     (SELECT 100 * avg(CASE WHEN (abs(a) + abs(p)) / 2 = 0 THEN 0 ELSE abs(a - p) / ((abs(a) + abs(p)) / 2) END) AS blend
+      FROM (SELECT a, 0.33 * p1 + 0.33 * p2 + 0.34 * p3 AS p FROM preds)) b"""))
+def q_stack_switch(spark, sf):
+    """Whether the stack replaces the blend, for several targets."""
+    p = preds(spark, sf)
+    blend = p.agg(E.smape(F.col("a"), E.blend(F.col("p1"), F.col("p2"), F.col("p3"))).alias("s")).first()["s"]
+    stack = E.ridge_stack_report(p, "a", ("p1", "p2", "p3")).first()["stack_smape"]
+    rows = [(t, float(blend), float(stack), E.use_stacking(blend, stack, t)) for t in (1.0, 5.0, 1000.0)]
+    out = spark.createDataFrame(rows, "threshold double, blend_smape double, stack_smape double, stacked boolean")
+    return out.select("threshold", r6("blend_smape").alias("blend_smape"), r6("stack_smape").alias("stack_smape"), "stacked")
+
+
 # --- S1 / S4: product CSV round trip ---------------------------------------------------------
 
 @register("csv_roundtrip", lambda: _with(CAT) + "SELECT sample_id, catalog_content, image_link, round(price, 6) AS price FROM catalog")
