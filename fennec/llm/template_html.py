@@ -67,7 +67,7 @@ CONTAINERS = (("article",), ("main",), ("article", "post", "entry", "story"), ("
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+>|"""
     r"""<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
-_ATTR = re.compile(r"""(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>|\Z", re.I) for t in RAW_TEXT}
 
@@ -94,7 +94,7 @@ def _attributes(raw: str) -> tuple[str, list[str], str, bool]:
                 hidden = True
             elif key == "role":
                 role = value.lower()
-            else:
+            elif key in ("class", "id"):
                 words += [w.lower() for w in _WORD.findall(value)]
                 # an id with digits is one page's own
                 names += "." + ".".join(sorted(value.split())) if key == "class" else "" if any(c.isdigit() for c in value) else "#" + value
@@ -112,7 +112,7 @@ def _is_other(tag: str, words: list[str], role: str, hidden: bool, in_article: b
         return not in_article  # an article's own header holds its title
     if tag in OTHER_TAGS:
         return True
-    return any(w in OTHER_WORDS and (i == 0 or words[i - 1] not in ("has", "with", "no")) for i, w in enumerate(words))
+    return any(w in OTHER_WORDS and not (w == "header" and in_article) and (i == 0 or words[i - 1] not in ("has", "with", "no")) for i, w in enumerate(words))
 
 
 def _rank(tag: str, words: list[str]) -> int:
@@ -219,7 +219,7 @@ def walk(page: str, template: frozenset[int] = frozenset()) -> tuple[Counter, li
         if tag not in INLINE:
             flush()
             tokens[path] += 1
-        inside = any(e.tag == "article" for e in stack) if tag == "header" else False
+        inside = any(e.tag == "article" for e in stack) if tag == "header" or "header" in words else False
         other = parent.other or _is_other(tag, words, role, hidden, inside)
         if other and not parent.other:
             flush()

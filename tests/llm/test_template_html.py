@@ -31,6 +31,8 @@ def test_other_parts_of_pages():
     with_article = page.replace("<main>", "<main><p>around</p><article><header><h1>Own title</h1></header><p>in</article>")
     assert T.main_text(with_article) == "Own title in"
     assert T.main_text("<p>one<p>two &lt;b&gt; < 3") == "one two <b> < 3"
+    assert T.main_text("""<article style="overflow:hidden" title="the hidden class=ad"><div class="article-header"><h1>H</h1></div>
+        <p data-id="ad">x</p><p hidden>no</p><p class='Share-Bar'>no</p></article>""") == "H x"
     assert T.main_text("<div><!-- open <p>gone") == "" and T.main_text("plain") == "plain" and T.main_text("") == ""
 
 
