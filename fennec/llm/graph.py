@@ -12,7 +12,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Large star: every larger neighbour of a node moves to the least of node
     and neighbours.  Small star: every smaller one does, and so does the node."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # written: Spark can then split the join at a node with many neighbours
+    least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "star-least")
     joined = both.join(least, "a")
     if large:
         moved = joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -21,20 +22,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where(F.col("a") != F.col("b")).distinct()
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Every node has one smaller neighbour at most, which has none itself."""
+    if not edges.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return False
+    return edges.select(F.col("b").alias("a")).distinct().join(edges.select("a"), "a", "left_semi").isEmpty()
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``node``, ``component`` (its least node) for every node in ``edges``
     (columns ``a``, ``b`` of one orderable type; loops are ignored).
 
     Edges never grow in number; each step is written to the shared folder, so
-    lost executors cost one step.  Ends when a round changes nothing, after
-    about the logarithm of the longest chain."""
+    lost executors cost one step.  Ends when every component is a star around
+    its least node, after about the logarithm of the longest chain."""
     e = written(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    state = None
-    while True:
-        now = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-        if (now["n"], now["x"]) == state or now["n"] == 0:
-            break
-        state = (now["n"], now["x"])
+    while not _is_stars(e):
         e = written(_star(written(_star(e, True), name), False), name)
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -67,11 +67,12 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     # (id, key, at) is the order in which a chunk's first occurrence is found
     place = F.struct("__id", "__k", "at")
     hashed = written(c.select(place.alias("place"), "n", row_key(F.col("chunk")).alias("h")), "chunk-hashes")
-    often = hashed.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
+    # written, like `first`: a join of two scans is one that Spark can split at a hot hash, one with an aggregate inside is not
+    often = written(hashed.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "chunk-often")
     again = hashed.join(often, "h", "left_semi").select(F.col("place.__k").alias("__k"), F.col("place.at").alias("at")).distinct()
     # byte comparison: group the repeated chunks by their whole text
     texts = written(c.join(again, ["__k", "at"], "left_semi").select(place.alias("place"), "n", "chunk"), "chunk-texts")
-    first = texts.groupBy("chunk").agg(F.min("place").alias("first"))
+    first = written(texts.groupBy("chunk").agg(F.min("place").alias("first")), "chunk-first")
     rest = texts.join(first, "chunk").where(F.col("place") != F.col("first")).select(
         F.col("place.__k").alias("__k"), F.col("place.at").alias("at"), "n").distinct()
     return rest.groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("gone"))

@@ -177,7 +177,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         F.min(F.struct("__id", "__k")).alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"),
         F.first("labels").alias("labels")), "forest-nodes")
     met = nodes.select("node", F.posexplode("labels").alias("tree", "label"))
-    buckets = met.groupBy("tree", "label").agg(F.min("node").alias("b"), F.count("*").alias("m")).where("m > 1").drop("m")
+    # written: a join of two scans is one that Spark can split at a hot prefix, one with an aggregate inside is not
+    buckets = written(met.groupBy("tree", "label").agg(F.min("node").alias("b"), F.count("*").alias("m")).where("m > 1").drop("m"), "forest-buckets")
     groups = connected_components(met.join(buckets, ["tree", "label"]).select(F.col("node").alias("a"), "b"), "forest-groups")
     groups = groups.join(nodes.select("node", "first", "n"), "node")
     parts = groups.groupBy("component").agg(F.greatest(

@@ -124,13 +124,14 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
     d = d.withColumn("__k", F.xxhash64("__id", "__t"))
     rows = written(_span_rows(d, min_words), "spans")
-    often = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # written: a join of two scans is one that Spark can split at a hot hash, one with an aggregate inside is not
+    often = written(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "spans-often")
     # the second hash tells apart what the first one confuses
     place = F.struct("__id", "__k", "s", "e").alias("place")
-    # shuffle joins at every size (Spark splits a hash that many spans share, and broadcasts what it has measured to be small)
+    # shuffle joins at every size (Spark broadcasts what it has measured to be small)
     again = rows.join(often, "h", "left_semi").select("h", "g", place)
     again = written(again, "spans-again")
-    first = again.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").drop("n")
+    first = written(again.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").drop("n"), "spans-first")
     later = again.join(first, ["h", "g"]).where(F.col("place") != F.col("first"))
     gone = later.select("place.__id", "place.__k", F.struct(F.col("place.s").alias("s"), F.col("place.e").alias("e")).alias("x"))
     gone = gone.groupBy(F.col("__id").alias("__i"), F.col("__k").alias("__j")).agg(F.collect_set("x").alias("gone"))
