@@ -837,6 +837,31 @@ def q_tfidf_item_names(spark, sf):
     return m.transform_long(f, "sample_id", "item_name").select("sample_id", "idx", r6("weight").alias("weight"))
 
 
+def _b_transform_sql() -> str:
+    tf = dict(ngram=(1, 2), strip_accents=False, stop=True)
+    return ("WITH " + CAT + ",\n" + O.extract_b_cte() + f""",
+cat_tr AS (SELECT * FROM cat_b WHERE NOT {HOLD}),
+cat_te AS (SELECT * FROM cat_b WHERE {HOLD}),
+""" + O.tfidf_vocab_sql("cat_tr", "sample_id", "item_name", 100, (1, 2), 5, 1.0, False, True) + ",\n"
+            + O.tfidf_terms_cte("cat_te", "sample_id", "item_name", name="ht", **tf) + """,
+htf AS (SELECT _id, term, count(*) AS tf FROM ht GROUP BY _id, term),
+w AS (SELECT htf._id AS sample_id, vocab.idx, htf.tf * vocab.idf AS w FROM htf JOIN vocab USING (term))
+SELECT sample_id, idx, round(w / sqrt(sum(w * w) OVER (PARTITION BY sample_id)), 6) AS weight FROM w""")
+
+
+@register("features_b_transform", lambda: _b_transform_sql())
+def q_features_b_transform(spark, sf):
+    """P7 + P8 with TF-IDF: fitted on the training rows, applied to the hold-out:
+    the non-zero ``tfidf_`` columns by position."""
+    cat = catalog(spark, sf)
+    h = holdout_flag(F.col("sample_id"))
+    ex = FB.ProductFeatureExtractor()
+    ex.fit_transform(cat.where(~h))
+    names = [n for n in ex.get_feature_names() if n.startswith("tfidf_")]
+    feats = ex.transform(cat.where(h)).select("sample_id", F.posexplode(F.array(*names)).alias("idx", "weight"))
+    return feats.where(F.col("weight") > 0).select("sample_id", "idx", r6("weight").alias("weight"))
+
+
 # --- P4 ratio features and A4 category list ---------------------------------------------------------
 
 @register("ratio_features", lambda: _with(CAT, CAT_B) + f"""
