@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# rows of state tables are a few numbers and a category: 250,000 stay under 100 MB with categories of 300 characters
+DEFAULT_BROADCAST_ROWS = 250_000
 
 
 def join_dim(

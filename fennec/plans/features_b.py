@@ -71,8 +71,11 @@ class ProductFeatureExtractor:
     tfidf_params: dict = field(default_factory=dict)
 
     def fit_transform(self, df: DataFrame, target_col: str = "price", use_tfidf: bool = True, max_tfidf_features: int = 100) -> DataFrame:
-        """Fit every piece of state on ``df`` and return its features."""
-        base = extract_catalog_features(df, self.text_col)
+        """Fit every piece of state on ``df`` and return its features.
+
+        The extracted frame is written once; statistics, medians, codes and
+        the vocabulary all read the files instead of extracting again."""
+        base = materialize(extract_catalog_features(df, self.text_col), "extracted")
         self.stats = GroupStatsEncoder(("unit", "brand"), target_col).fit(base)
         out = create_ratio_features(self.stats.transform(base))
         self.labels = LabelEncoder(("unit", "brand")).fit(out)

@@ -74,10 +74,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_HOMES: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written state."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder for written state, in the application's own folder
+    under the shared checkpoint folder.  That folder goes when the driver ends:
+    what is written there belongs to the running application alone."""
+    home = f"{ensure_checkpoint_dir(spark)}/fennec-{spark.sparkContext.applicationId}"
+    if home not in _HOMES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(home)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _HOMES.add(home)
+    return f"{home}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 @functools.lru_cache(maxsize=1)
