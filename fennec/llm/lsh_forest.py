@@ -180,9 +180,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     # written: a join of two scans is one that Spark can split at a hot prefix, one with an aggregate inside is not
     buckets = written(met.groupBy("tree", "label").agg(F.min("node").alias("b"), F.count("*").alias("m")).where("m > 1").drop("m"), "forest-buckets")
     groups = connected_components(met.join(buckets, ["tree", "label"]).select(F.col("node").alias("a"), "b"), "forest-groups")
-    groups = groups.join(nodes.select("node", "first", "n"), "node")
-    parts = groups.groupBy("component").agg(F.greatest(
-        F.ceil(F.count("*") / block_nodes), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("blocks"))
+    groups = written(groups.join(nodes.select("node", "first", "n"), "node"), "forest-members")
+    parts = written(groups.groupBy("component").agg(F.greatest(
+        F.ceil(F.count("*") / block_nodes), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("blocks")), "forest-blocks")
     placed = groups.join(parts, "component").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     # block pairs (i, j), i <= j: a node is in those of its own block
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
@@ -209,8 +209,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
             whole[:n, n:], whole[n:, :n] = part, part.T
         links = whole.sum(axis=1)
         at = np.flatnonzero(links)
-        root = _roots(whole)[at]
         x, y = (np.array([v[f] for v in pdf["node"]], np.int64) for f in ("x", "y"))
+        # each cluster is a star around its least node
+        order = np.lexsort((y, x))
+        rank, least = np.empty(len(order), np.int64), np.full(len(order), len(order))
+        rank[order] = np.arange(len(order))
+        root = _roots(whole)
+        np.minimum.at(least, root, rank)
+        root = order[least[root]][at]
         return pd.DataFrame({"x": x[at], "y": y[at], "links": links[at], "rx": x[root], "ry": y[root]})
 
     found = work.groupBy("component", "i", "j").applyInPandas(verify, "x bigint, y bigint, links bigint, rx bigint, ry bigint")
