@@ -4,7 +4,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
-import pytest
 
 from fennec.llm import lsh_forest as J
 from fennec.llm.graph import connected_components

@@ -1,11 +1,6 @@
 import re
 
-import pytest
-from pyspark.sql import functions as F
-
 import corpus_pipeline as P
-from fennec.llm import crf_language
-from fennec.llm.queries import QUERIES
 from fennec.llm.winnowing import contamination
 from fennec.sources.tables import table
 

@@ -2,9 +2,6 @@ import hashlib
 import random
 import re
 
-import duckdb
-from pyspark.sql import functions as F
-
 from fennec.llm import winnowing as W
 from fennec.llm.queries import ORACLE, QUERIES
 
