@@ -279,15 +279,16 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            known_hosts: int = 20_000) -> DataFrame:
+            broadcast_tokens: int = 2_000_000) -> DataFrame:
     """One row per page: ``id_col``, ``url_col``, ``text`` (empty if none), ``n_chars``.
 
     Null and empty pages give empty text; a null URL belongs to the host ``''``.
-    Repeated pages each get their row.  A template has at most twice the tokens
-    of a page, so templates of up to ``known_hosts`` hosts are broadcast and
-    more are joined by a shuffle (in which Spark may split a large host).
+    Repeated pages each get their row.  Templates of ``broadcast_tokens`` tokens
+    (8 bytes each) or fewer in all are broadcast, more are joined by a shuffle,
+    in which Spark may split a large host.
     """
     found = written(templates(pages, url_col, html_col), "templates")
+    size = found.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, frozenset] = {}
@@ -307,6 +308,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     p = pages.select(F.col(id_col).alias("__id"), F.col(url_col).cast("string").alias("__u"),
                      host_of(F.col(url_col)).alias("__h"), F.col(html_col).alias("__t"))
-    joined = join_dim(p, found.withColumnRenamed("h", "__h"), "__h", known_rows=found.count(), max_rows=known_hosts)
+    joined = join_dim(p, found.withColumnRenamed("h", "__h"), "__h", known_rows=size, max_rows=broadcast_tokens)
     kind = p.schema["__id"].dataType.simpleString()
     return joined.mapInArrow(run, f"__id {kind}, __u string, text string, n_chars bigint").withColumnsRenamed({"__id": id_col, "__u": url_col})

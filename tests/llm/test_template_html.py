@@ -44,7 +44,7 @@ def test_templates_are_removed_where_there_is_no_article(spark):
     got = {r.page_id: (r.text, r.n_chars) for r in T.extract(df).collect()}
     assert all(got[i] == (f"Text {i} of its own", len(f"Text {i} of its own")) for i in range(12))
     assert got[50] == ("alone", 5) and got[51] == ("", 0) and got[52] == ("", 0)
-    shuffled = {r.page_id: (r.text, r.n_chars) for r in T.extract(df, known_hosts=0).collect()}
+    shuffled = {r.page_id: (r.text, r.n_chars) for r in T.extract(df, broadcast_tokens=0).collect()}
     assert shuffled == got
     assert T.extract(df).count() == len(pages) and T.extract(df.limit(0)).count() == 0
 
