@@ -4,15 +4,16 @@ A page's tokens are its elements (tag, class and the path to them) and its text
 blocks (path and text).  Over the pages of one host a token has an occurrence
 vector: how often it occurs in each page.  Tokens with equal vectors form an
 equivalence class; a class is valid when its tokens occur once in each of their
-pages, it has two tokens or more and covers half of the host's pages or more.
-Valid classes, nested by path (an element belongs to the template when the
-element around it does), are the host's template.  What lies between them are
-slots, and the text in slots is the page's own.
+pages, it has two tokens or more, and covers half of the host's pages or
+more, or is a layout inside the host: an element is among its tokens and it
+covers ``min_pages`` pages or more.  Valid classes are the host's template.  What
+lies between them are slots, and the text in slots is the page's own.
 
-Slots are taken from the article the template holds (else from the best
-container, see ``CONTAINERS``), without subtrees that are menus, headers,
-adverts and so on.  Outside an article, text blocks of the template are dropped
-too.  Hosts with one page have no template; their pages are judged alone.
+The page's text is that of the slots in the best container (an article first,
+see ``CONTAINERS``), without subtrees that are menus, headers, adverts and so
+on.  In an article only classes of ``FIRM_PAGES`` pages or more decide.  A
+container without slots is a copy of others; its text stays.
+Hosts with one page have no template; their pages are judged alone.
 
 Vectors are never gathered: each is an order-free fingerprint (xor over pages
 of hash(page, count)) that Spark pre-aggregates before the shuffle, so one host
@@ -64,6 +65,11 @@ OTHER_WORDS = frozenset(
 #: Containers of the main text, best first: tags, then words of class or id.
 CONTAINERS = (("article",), ("main",), ("article", "post", "entry", "story"), ("content", "main", "body"))
 
+#: Pages that make a layout inside a host.
+MIN_PAGES = 8
+#: Pages on which a text is the template's even in an article (fewer may be copies of one article).
+FIRM_PAGES = 4
+
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+>|"""
     r"""<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
@@ -127,10 +133,12 @@ def _rank(tag: str, words: list[str]) -> int:
     return len(CONTAINERS)
 
 
-def walk(page: str, template: frozenset[int] = frozenset()) -> tuple[Counter, list[tuple[str, int, int, bool]]]:
+def walk(page: str, template: frozenset[int] = frozenset(), firm: frozenset[int] = frozenset()) -> tuple[Counter, list[tuple[str, int, int, bool]]]:
     """The tokens of a page, counted, and its blocks: text, the best container
-    around it, its token, and whether it is of the template.  Blocks in
-    subtrees without main text are tokens only."""
+    around it, its token, and whether it is of the template (by its own token in
+    ``firm``; outside an article by ``template``, nested).  Blocks in
+    subtrees without main text are tokens only.  Tokens of elements are odd, those
+    of text even."""
     tokens: Counter = Counter()
     blocks: list[tuple[str, int, int, bool]] = []
     root = _Element("", 0, False, len(CONTAINERS), (), True)
@@ -142,10 +150,11 @@ def walk(page: str, template: frozenset[int] = frozenset()) -> tuple[Counter, li
             text = " ".join(entities.unescape("".join(buffer)).split())
             buffer = []
             if text:
-                token = _hash(owner.path, "#" + text)
+                token = _hash(owner.path, "#" + text) & ~1
                 tokens[token] += 1
                 if not owner.other:
-                    blocks.append((text, owner.rank, token, owner.template and token in template))
+                    known = token in firm or (owner.rank > 0 and owner.template and token in template)
+                    blocks.append((text, owner.rank, token, known))
 
     def block_owner():
         for e in reversed(stack):
@@ -215,7 +224,7 @@ def walk(page: str, template: frozenset[int] = frozenset()) -> tuple[Counter, li
             continue
         parent = stack[-1]
         names, words, role, hidden = _attributes(raw)
-        path = _hash(parent.path, tag + names)
+        path = _hash(parent.path, tag + names) | 1
         if tag not in INLINE:
             flush()
             tokens[path] += 1
@@ -234,13 +243,16 @@ def walk(page: str, template: frozenset[int] = frozenset()) -> tuple[Counter, li
     return tokens, blocks
 
 
-def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
+def main_text(page: str, template: frozenset[int] = frozenset(), firm: frozenset[int] = frozenset()) -> str:
     """The text in the slots of the best container."""
-    _, blocks = walk(page, template)
+    _, blocks = walk(page, template, firm)
     if not blocks:
         return ""
     best = min(b[1] for b in blocks)
-    return " ".join(text for text, rank, _, known in blocks if rank == best and (best == 0 or not known))
+    inside = [(text, known) for text, rank, _, known in blocks if rank == best]
+    # in a container without slots (a copy of others) all of it is the text
+    copied = best < len(CONTAINERS) and all(known for _, known in inside)
+    return " ".join(text for text, known in inside if copied or not known)
 
 
 def host_of(url):
@@ -249,8 +261,9 @@ def host_of(url):
 
 
 def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_share: float = 0.5,
-              min_tokens: int = 2) -> DataFrame:
-    """Per host: its template's tokens (none for hosts of one page)."""
+              min_tokens: int = 2, min_pages: int = MIN_PAGES) -> DataFrame:
+    """Per host: its template's tokens, and those of them on ``FIRM_PAGES`` pages
+    or more (no row for hosts of one page)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,9 +286,16 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.sum("n").alias("total"))
     seen = written(seen.where("pages > 1"), "page-tokens")
     hosts = seen.where("token = 0").select("h", F.col("pages").alias("host_pages"))
-    frequent = seen.where("token != 0 and total = pages").join(hosts, "h").where(F.col("pages") >= F.col("host_pages") * min_share)
-    classes = frequent.groupBy("h", "vector", "pages").agg(F.collect_list("token").alias("tokens"))
-    return classes.where(F.size("tokens") >= min_tokens).groupBy("h").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+    share = F.col("host_pages") * min_share
+    frequent = seen.where("token != 0 and total = pages").join(hosts, "h").where(F.col("pages") >= F.least(share, F.lit(min_pages)))
+    # written: what joins by host alone would keep all tokens of a large host in one task
+    frequent = written(frequent, "page-frequent")
+    classes = frequent.groupBy("h", "vector", "pages", "host_pages").agg(
+        F.collect_list("token").alias("tokens"), F.max(F.col("token").bitwiseAND(1)).alias("elements"))
+    valid = (F.col("pages") >= share) | ((F.col("pages") >= min_pages) & (F.col("elements") == 1))
+    return classes.where((F.size("tokens") >= min_tokens) & valid).groupBy("h").agg(
+        F.flatten(F.collect_list("tokens")).alias("tokens"),
+        F.flatten(F.collect_list(F.when(F.col("pages") >= FIRM_PAGES, F.col("tokens")))).alias("firm"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -288,20 +308,20 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     in which Spark may split a large host.
     """
     found = written(templates(pages, url_col, html_col), "templates")
-    size = found.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
+    size = found.agg(F.coalesce(F.sum(F.size("tokens") + F.size("firm")), F.lit(0))).first()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, frozenset] = {}
+        memo: dict[str, tuple[frozenset, frozenset]] = {}
         for batch in batches:
             for part, texts in pieces(batch, "__t"):
                 out = []
-                hosts, tokens = part.column("__h").to_pylist(), part.column("tokens")
+                hosts, tokens, firm = part.column("__h").to_pylist(), part.column("tokens"), part.column("firm")
                 for i, (h, text) in enumerate(zip(hosts, texts)):
                     if h not in memo:
                         if len(memo) > 1000:
                             memo.clear()
-                        memo[h] = frozenset(tokens[i].as_py() or ())
-                    out.append(main_text(text, memo[h]))
+                        memo[h] = frozenset(tokens[i].as_py() or ()), frozenset(firm[i].as_py() or ())
+                    out.append(main_text(text, *memo[h]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("__id"), part.column("__u"), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())],
                     names=["__id", "__u", "text", "n_chars"])

@@ -65,3 +65,19 @@ def test_long_and_broken_pages():
     assert T.main_text("</p></div><article><b>x</article></b>y") == "x"
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert T.main_text(deep) == "x"
+
+
+def test_boilerplate_inside_articles_goes(spark):
+    def page(i, layout):
+        own = f"<p>Story {i} is told here</p><p>and {i} ends</p>"
+        if layout == "shop":  # 10 of 50 pages
+            return f"<body><article class=shop><div class=price>Price {i}</div><div class=x>Orders leave within a day</div>{own}</article></body>"
+        return f"<body><article><p>Read all about it in our paper</p>{own}<div>Call us any time</div></article></body>"
+
+    pages = [(i, "http://a.org/", page(i, "shop" if i < 10 else "news")) for i in range(50)]
+    pages += [(50 + i, "http://b.org/", "<body><article><h1>One</h1><p>text on all pages</p></article></body>") for i in range(9)]
+    df = spark.createDataFrame(pages, "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in T.extract(df).collect()}
+    for i in range(50):
+        assert got[i] == (f"Price {i} " if i < 10 else "") + f"Story {i} is told here and {i} ends"
+    assert all(got[50 + i] == "One text on all pages" for i in range(9))
