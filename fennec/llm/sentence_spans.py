@@ -5,8 +5,10 @@ From every sentence starts a span: the shortest run of sentences of at least
 back as far as needed.  Spans are hashed and counted over the whole table; a
 sentence goes when a span over it occurs earlier (by document id, then
 position).  Any passage of whole sentences with ``min_words`` words or more is
-covered by its own spans, so its later copies go entirely; where it starts or
-ends amid a sentence, that sentence stays.
+covered by its own spans, so its later copies go entirely.  Long sentences are
+cut into parts at places their own words decide, and a part counts as a
+sentence; where a passage starts or ends amid a part, that part stays.  What a
+single sentence repeats within itself stays as well.
 
 Texts stay where they are while spans are counted: a span's row holds two
 64-bit hashes and its place.  Counts and first places are pre-aggregated, so a
@@ -16,6 +18,7 @@ passage shared by any number of documents is no hot group.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,12 +37,47 @@ _BREAK = re.compile(r"(?<=[.!?。！？])\s+|\n\s*")
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
+#: Words of a sentence, and words on both sides among which a cut is the best place.
+_WORD = re.compile(r"\S+")
+REACH = 5
+
+
+def _cuts(text: str, a: int, b: int) -> list[int]:
+    """Where the sentence at ``a`` to ``b`` is cut: after the words whose hash (with
+    the next one's) is the least within ``REACH`` words, clause marks first.  Only
+    these words decide, so a passage is cut alike wherever it stands."""
+    if b - a < 4 * (REACH + 1):
+        return []
+    found = list(_WORD.finditer(text, a, b))
+    if len(found) < 2 * REACH + 2:
+        return []
+    words = [m.group() for m in found]
+    crc = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.int64, len(words))
+    h = (crc[:-1] * 0x9E3779B1 ^ crc[1:] * 0x85EBCA6B) & 0xFFFFFFFF
+    h += np.fromiter((0 if w[-1] in ",;:、，；：" else 1 << 32 for w in words[:-1]), np.int64, len(h))
+    around = np.lib.stride_tricks.sliding_window_view(h, 2 * REACH + 1)
+    mid = h[REACH:len(h) - REACH]
+    best = (mid == around.min(axis=1)) & ((around == mid[:, None]).sum(axis=1) == 1)
+    return [found[i + 1].start() for i in (np.flatnonzero(best) + REACH).tolist()]
+
+
 def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the sentences of a text; together they are the text."""
-    cuts = [0, *(m.end() for m in _BREAK.finditer(text)), len(text)]
+    """(start, end) of the sentences of a text, long ones in parts; together they are the text."""
+    ends = [0, *(m.end() for m in _BREAK.finditer(text)), len(text)]
+    cuts = [0]
+    for a, b in zip(ends, ends[1:]):
+        cuts += _cuts(text, a, b)
+        cuts.append(b)
     return [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
+def _owners(text: str, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """The whole sentence that each span lies in (-1: in several)."""
+    starts = np.array([a for a, _ in sentences(text)], np.int64)
+    number = np.searchsorted(np.array([m.end() for m in _BREAK.finditer(text)], np.int64), starts, side="right")
+    return np.where(number[s] == number[e], number[s], -1) if len(s) else np.zeros(0, np.int64)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     """``base`` to the powers 0 .. n, modulo 2**64."""
     out = np.full(n + 1, base, np.uint64)
@@ -91,13 +129,14 @@ def _span_rows(docs: DataFrame, min_words: int) -> DataFrame:
                     continue
                 cols = [np.concatenate([f[i] for f in found]).astype(np.int32) for i in (0, 1)]
                 cols += [np.concatenate([f[2][i] for f in found]).view(np.int64) for i in (0, 1)]
+                cols.append(np.concatenate([_owners(t, f[0], f[1]) for t, f in zip(texts, found) if len(f[0])]).astype(np.int32))
                 at = pa.array(owner, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("__id").take(at), part.column("__k").take(at), *map(pa.array, cols)],
-                    names=["__id", "__k", "s", "e", "h", "g"])
+                    names=["__id", "__k", "s", "e", "h", "g", "o"])
 
     kind = docs.schema["__id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"__id {kind}, __k bigint, s int, e int, h bigint, g bigint")
+    return docs.mapInArrow(run, f"__id {kind}, __k bigint, s int, e int, h bigint, g bigint, o int")
 
 
 def _drop(text: str, gone: list[dict]) -> tuple[str, int, int]:
@@ -127,12 +166,15 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # written: a join of two scans is one that Spark can split at a hot hash, one with an aggregate inside is not
     often = written(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "spans-often")
     # the second hash tells apart what the first one confuses
-    place = F.struct("__id", "__k", "s", "e").alias("place")
+    place = F.struct("__id", "__k", "s", "e", "o").alias("place")
     # shuffle joins at every size (Spark broadcasts what it has measured to be small)
     again = rows.join(often, "h", "left_semi").select("h", "g", place)
     again = written(again, "spans-again")
     first = written(again.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").drop("n"), "spans-first")
     later = again.join(first, ["h", "g"]).where(F.col("place") != F.col("first"))
+    same = (F.col("place.__id").eqNullSafe(F.col("first.__id")) & (F.col("place.__k") == F.col("first.__k"))
+            & (F.col("place.o") >= 0) & (F.col("place.o") == F.col("first.o")))
+    later = later.where(~same)
     gone = later.select("place.__id", "place.__k", F.struct(F.col("place.s").alias("s"), F.col("place.e").alias("e")).alias("x"))
     gone = gone.groupBy(F.col("__id").alias("__i"), F.col("__k").alias("__j")).agg(F.collect_set("x").alias("gone"))
     joined = d.join(gone, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__k") == F.col("__j")), "left").select("__id", "__t", "gone")

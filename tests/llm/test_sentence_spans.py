@@ -75,3 +75,20 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert len({r.text for r in by[4]}) == 1 and by[4][0].text and by[5][0].text == ""
     assert by[6][0].text.startswith("word0") and len(by[6][0].text) > 300_000
     assert dedup_spans(no_docs).count() == 0
+
+
+def test_passages_that_start_and_end_amid_long_sentences(spark):
+    lost = []
+    rows = []
+    for case in range(30):
+        passage = " ".join(f"p{case}w{j}" for j in range(60))
+        for k in range(2):
+            before, after = (" ".join(f"{x}{case}k{k}n{j}" for j in range(40)) for x in "ab")
+            rows.append((2 * case + k, f"{before} {passage} {after}."))
+    got = {r.doc_id: r for r in dedup_spans(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    for i, text in rows:
+        if i % 2 == 0:
+            assert got[i].text == text
+        else:
+            lost.append(len(text.split()) - len(got[i].text.split()))
+    assert all(x <= 60 for x in lost) and sum(x >= 25 for x in lost) >= 29
