@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import (crf_language, fertility, line_chunks, lsh_forest, nbest, pseudonyms, sentence_spans, sql, template_html,
-               token_store, winnowing)
+from . import (crf_language, fertility, line_chunks, lsh_forest, minhash_stars, nbest, pivot_kmeans, pseudonyms, sentence_spans, sql,
+               template_html, token_store, whitening, winnowing)
 
 QUERIES = {}
 ORACLE = {}
@@ -97,3 +97,29 @@ def op4_nbest(spark, sf_dir):
 
 
 QUERIES["op4_nbest"] = op4_nbest
+
+
+def op11_pivot_kmeans(spark, sf_dir):
+    found, centroids = pivot_kmeans.kmeans(table(spark, sf_dir, "embeddings"))
+    digests = [F.lit(x) for c, centroid in enumerate(centroids) for x in (c, pivot_kmeans.centroid_digest(centroid))]
+    digest = F.create_map(*digests)[F.col("cluster")] if digests else F.lit(None).cast("string")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+QUERIES["op11_pivot_kmeans"] = op11_pivot_kmeans
+ORACLE["op11_pivot_kmeans"] = sql.kmeans(pivot_kmeans.K, pivot_kmeans.ROUNDS, pivot_kmeans.DIMS, pivot_kmeans.SEED)
+
+
+def op12_minhash_stars(spark, sf_dir):
+    return minhash_stars.components(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op12_minhash_stars"] = op12_minhash_stars
+ORACLE["op12_minhash_stars"] = sql.COMPONENTS
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+QUERIES["op13_whitening"] = op13_whitening
