@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import WordCache, pieces
+from .arrow import PIECE_CHARS, WordCache, pieces
 
 SPACE = chr(0x2581)
 #: Stands for a space mark of the text itself; no UTF-8 text can hold it.
@@ -375,36 +375,41 @@ def _default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def digests(docs: DataFrame, n: int = N_BEST, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
-    """One row per document: ``id_col``, ``n_found`` (segmentations, at most
-    ``n``), and by rank ``scores``, ``n_pieces``, ``ids_crc32`` (of the ids as
-    little-endian unsigned 32-bit integers); ``round_trip``: the best one decodes to
-    the text.
+def digests(docs: DataFrame, n: int = N_BEST, id_col: str = "doc_id", text_col: str = "text", model: str | None = None,
+            keep: list[str] | None = None, with_ids: bool = False) -> DataFrame:
+    """One row per document: ``id_col``, the columns of ``keep``, ``n_found``
+    (segmentations, at most ``n``), and by rank ``scores``, ``n_pieces``, ``ids_crc32``
+    (of the ids as little-endian unsigned 32-bit integers); ``round_trip``: the best
+    one decodes to the text; ``ids`` of the best one, if wanted.
 
     Null texts are empty; an empty text has one segmentation without pieces.
     Repeated rows stay; other columns are ignored.
     """
     path = model or _default_model()
 
+    names = [id_col, *(keep or [])]
+    count = len(names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg = segmenter(path)
         for batch in batches:
-            for part, texts in pieces(batch, "__t"):
-                rows = []
+            for part, texts in pieces(batch, "__t", 500_000 if with_ids else PIECE_CHARS):
+                rows, ids_of = [], []
                 for text, best in zip(texts, seg.encode_all(texts, n)):
                     ranked = [(score, np.frombuffer(ids, seg.kind)) for score, ids in best]
                     rows.append((len(ranked), [r[0] for r in ranked], [len(r[1]) for r in ranked],
                                  [zlib.crc32(r[1].astype("<u4").tobytes()) for r in ranked],
                                  seg.decode(ranked[0][1].tolist()) == text))
+                    ids_of.append(ranked[0][1].astype(np.int32) if with_ids else None)
                 kinds = [pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("__id"), *[pa.array(c, t) for c, t in zip(zip(*rows), kinds)]],
-                    names=["__id", "n_found", "scores", "n_pieces", "ids_crc32", "round_trip"])
+                    [*part.columns[:count], *[pa.array(c, t) for c, t in zip(zip(*rows), kinds)], pa.array(ids_of, pa.list_(pa.int32()))],
+                    names=[*part.schema.names[:count], "n_found", "scores", "n_pieces", "ids_crc32", "round_trip", "ids"])
 
-    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
-    schema = (f"__id {d.schema['__id'].dataType.simpleString()}, n_found int, scores array<double>, n_pieces array<int>, "
-              "ids_crc32 array<bigint>, round_trip boolean")
-    return d.mapInArrow(run, schema).withColumnRenamed("__id", id_col)
+    d = docs.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(names)], F.col(text_col).alias("__t"))
+    found = T.StructType.fromDDL("n_found int, scores array<double>, n_pieces array<int>, ids_crc32 array<bigint>, round_trip boolean, ids array<int>")
+    out = d.mapInArrow(run, T.StructType([*d.schema.fields[:count], *found.fields])).toDF(*names, *found.names)
+    return out if with_ids else out.drop("ids")
 
 
 def encode(docs: DataFrame, n: int = 1, id_col: str = "doc_id", text_col: str = "text", model: str | None = None,

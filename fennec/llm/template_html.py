@@ -67,8 +67,11 @@ CONTAINERS = (("article",), ("main",), ("article", "post", "entry", "story"), ("
 
 #: Pages that make a layout inside a host.
 MIN_PAGES = 8
-#: Pages on which a text is the template's even in an article (fewer may be copies of one article).
-FIRM_PAGES = 4
+#: Pages on which a text is the template's even in an article (fewer may be copies of one article), and
+#: the share of the host's pages that a class without elements must be on for it: the rest are copies too.
+FIRM_PAGES, FIRM_SHARE = 4, 0.9
+#: An article of which other pages have more than this share of characters is a copy, and kept whole.
+COPY_SHARE = 0.7
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+>|"""
@@ -250,8 +253,11 @@ def main_text(page: str, template: frozenset[int] = frozenset(), firm: frozenset
         return ""
     best = min(b[1] for b in blocks)
     inside = [(text, known) for text, rank, _, known in blocks if rank == best]
-    # in a container without slots (a copy of others) all of it is the text
-    copied = best < len(CONTAINERS) and all(known for _, known in inside)
+    # a container without slots is a copy of others; an article that is mostly what other
+    # pages have too is a near copy of theirs: all of it is the text
+    shared = sum(len(text) for text, known in inside if known)
+    whole = sum(len(text) for text, _ in inside)
+    copied = best < len(CONTAINERS) and (shared == whole or best == 0 and shared > COPY_SHARE * whole)
     return " ".join(text for text, known in inside if copied or not known)
 
 
@@ -262,8 +268,8 @@ def host_of(url):
 
 def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_share: float = 0.5,
               min_tokens: int = 2, min_pages: int = MIN_PAGES) -> DataFrame:
-    """Per host: its template's tokens, and those of them on ``FIRM_PAGES`` pages
-    or more (no row for hosts of one page)."""
+    """Per host: its template's tokens, and those of them that decide in articles
+    too (no row for hosts of one page)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,9 +299,9 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
     classes = frequent.groupBy("h", "vector", "pages", "host_pages").agg(
         F.collect_list("token").alias("tokens"), F.max(F.col("token").bitwiseAND(1)).alias("elements"))
     valid = (F.col("pages") >= share) | ((F.col("pages") >= min_pages) & (F.col("elements") == 1))
+    firm = (F.col("pages") >= FIRM_PAGES) & ((F.col("elements") == 1) | (F.col("pages") >= F.col("host_pages") * FIRM_SHARE))
     return classes.where((F.size("tokens") >= min_tokens) & valid).groupBy("h").agg(
-        F.flatten(F.collect_list("tokens")).alias("tokens"),
-        F.flatten(F.collect_list(F.when(F.col("pages") >= FIRM_PAGES, F.col("tokens")))).alias("firm"))
+        F.flatten(F.collect_list("tokens")).alias("tokens"), F.flatten(F.collect_list(F.when(firm, F.col("tokens")))).alias("firm"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

@@ -88,3 +88,9 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert C.train(no_docs) is None
     assert {r.lang_pred for r in C.identify(odd_docs, None).collect()} == {"und"}
     assert C.identify(no_docs, model).count() == 0
+
+
+def test_marks_alone_are_no_words():
+    points, starts, ends, owner = C.tokenize(["\u0301\u0308", "a\u0301b \u0300 c", ""])
+    words = ["".join(map(chr, points[a:b])) for a, b in zip(starts, ends)]
+    assert words == ["a\u0301b", "c"] and owner.tolist() == [1, 1]

@@ -81,3 +81,19 @@ def test_boilerplate_inside_articles_goes(spark):
     for i in range(50):
         assert got[i] == (f"Price {i} " if i < 10 else "") + f"Story {i} is told here and {i} ends"
     assert all(got[50 + i] == "One text on all pages" for i in range(9))
+
+
+def test_near_copies_keep_their_articles(spark):
+    pages, want, page_id = [], {}, 0
+    for host, (all_pages, copies) in enumerate([(4, 4), (8, 4), (68, 8), (68, 34), (1000, 100), (1000, 1000)]):
+        for i in range(all_pages):
+            copy = i < copies
+            story = [f"Paragraph {j} of the story {'that many tell' if copy else i} in host {host}" for j in range(11)]
+            own = f"Edition {i}"
+            extra = "<blockquote>As told by the agency</blockquote>" if copy else ""
+            body = "".join(f"<p>{x}</p>" for x in story) + extra
+            pages.append((page_id, f"http://h{host}.org/{i}", f"<body><div>Site</div><article><h1>{own}</h1>{body}</article></body>"))
+            want[page_id] = " ".join([own, *story, *(["As told by the agency"] if copy else [])])
+            page_id += 1
+    df = spark.createDataFrame(pages, "page_id int, url string, html string")
+    assert {r.page_id: r.text for r in T.extract(df).collect()} == want
