@@ -27,24 +27,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines leave the texts; every document stays."""
-    found = line_chunks.dedup_lines(docs)
+    """Repeated lines leave the texts.  A document all of whose text is removed, a copy
+    of others' lines, goes; all others stay, null and blank texts as they are."""
+    found = line_chunks.dedup_lines(docs).where((F.col("__removed") == 0) | F.col("text").rlike(r"\S"))
     return found.withColumn("n_chars", F.when(F.col("__removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, the one of least id (null
+    first); of repeated rows one stays.  Texts without words are similar to nothing and stay."""
     return lsh_forest.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with benchmark passages go."""
+    """Documents with benchmark passages go; null and empty texts have none and stay."""
     return winnowing.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best segmentation of every text: ``doc_id``, ``lang``, ``n_pieces``, ``score``, ``ids``."""
-    return nbest.encode(docs, 1, keep=["lang"]).select("doc_id", "lang", F.size("ids").alias("n_pieces"), "score", "ids")
+    """The ``N_BEST`` best segmentations of every text: ``doc_id``, ``lang``, of the best
+    one ``n_pieces``, ``score`` and ``ids``, and whether these decode to the text
+    (``round_trip``); of all, by rank, ``scores`` and ``ids_crc32``.  Null and empty
+    texts have no pieces; every document stays."""
+    found = nbest.digests(docs, nbest.N_BEST, keep=["lang"], with_ids=True)
+    return found.select("doc_id", "lang", F.col("n_pieces")[0].alias("n_pieces"), F.col("scores")[0].alias("score"), "ids",
+                        "round_trip", "n_found", "scores", "ids_crc32")
 
 
 STAGES = [
