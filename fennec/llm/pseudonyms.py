@@ -4,16 +4,18 @@ Candidates are found by pattern and validated (card check digits, IBAN mod 97,
 SSN ranges, octets, calendar dates, digit counts); what is not valid stays.  A
 valid value is a list of digits in mixed radices, and a keyed Feistel network
 permutes that list inside its format: a card gives a card with a right check
-digit, a date a date, an e-mail address an address in the same shape.  The
-permutation depends on key, kind and value alone, so equal values get equal
-pseudonyms in every document, different ones different, and the holder of the
-key can turn them back (``inverse=True``).
+digit, a date a date that reads the same way, an e-mail address an address in the
+same shape.  The permutation depends on key, kind and value alone, so equal values
+get equal pseudonyms in every document, different ones different, and the holder of
+the key can turn them back (``inverse=True``).  Octets written with leading zeros
+come back without them.
 
 Everything is a DataFrame expression over one row: no shuffle, no Python.
 """
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -22,8 +24,16 @@ from pyspark.sql import functions as F
 from .common import let
 
 ROUNDS = 8
-#: Dates are permuted within these 200 years, 73049 = 319 * 229 days.
-FIRST_DAY, DATE_RADICES = "1900-01-01", (319, 229)
+#: Dates are permuted within these 200 years.  Days that can be written alike
+#: form a class: day of month below 10, 10 to 12 or more (that one is never read
+#: as a month), month below 10 or not.  So every spelling of a day, padded or
+#: not, month or day first, is one of each day of its class.
+FIRST_YEAR, YEARS = 1900, 200
+#: Radices of the classes, whose products are the numbers of their days; the last
+#: two are days from the 13th on in January to September of common and leap years.
+DATE_RADICES = ((120, 135), (72, 75), (72, 75), (40, 45), (100, 112), (151, 165), (83, 98))
+#: Days from the 13th on before each month of a class (September and December are the last).
+MONTH_STARTS = ((0, 19, 37), (0, 19, 35, 54, 72, 91, 109, 128, 147), (0, 19, 36, 55, 73, 92, 110, 129, 148))
 #: Valid SSN areas (001-899 without 666) times groups, and serials.
 SSN_RADICES = (898 * 99, 9999)
 
@@ -76,6 +86,10 @@ def _numbers(*cols: Column) -> Column:
     return F.array(*[c.cast("bigint") for c in cols])
 
 
+def _list(values) -> Column:
+    return F.expr(f"array({', '.join(map(str, values))})")
+
+
 def _characters(text: Column, fixed: Callable[[Column], Column], key: Column, inverse: bool) -> Column:
     """Letters and digits of ``text`` permuted within their class; places for
     which ``fixed`` holds, and all other characters, stay."""
@@ -117,23 +131,78 @@ def _mod97(iban: Column) -> Column:
 
 
 def _day(m: Column) -> Column:
-    """Days since ``FIRST_DAY`` of a date in one of the formats; null if it is none."""
-    def days(pattern: str) -> Column:
-        return F.datediff(F.try_to_timestamp(m, F.lit(pattern)).cast("date"), F.lit(FIRST_DAY).cast("date"))
+    """A date in one of the formats as a struct ``y`` (years since ``FIRST_YEAR``),
+    ``m``, ``d``, and whether the month is written before the day; null if it is none."""
+    def parts(year: int, month: int, day: int, month_first: bool) -> Column:
+        n = [F.regexp_extract(m, r"^(\d+)\D(\d+)\D(\d+)$", i).cast("int") for i in (year, month, day)]
+        leap = (n[0] % 4 == 0) & (n[0] != FIRST_YEAR)
+        length = F.when((n[1] == 2) & leap, F.lit(29)).otherwise(F.get(_list([monthrange(2001, k)[1] for k in range(1, 13)]), n[1] - 1))
+        real = n[0].between(FIRST_YEAR, FIRST_YEAR + YEARS - 1) & n[1].between(1, 12) & (n[2] >= 1) & (n[2] <= length)
+        return F.when(real, F.struct((n[0] - FIRST_YEAR).alias("y"), n[1].alias("m"), n[2].alias("d"), F.lit(month_first).alias("month_first")))
+
+    return (F.when(m.rlike(r"^\d{4}\D"), parts(1, 2, 3, True)).when(m.contains("."), parts(3, 2, 1, False))
+            .otherwise(F.coalesce(parts(3, 1, 2, True), parts(3, 2, 1, False))))
+
+
+def _place(t: Column) -> Column:
+    """The class of a day, and its number there."""
+    def late(starts: tuple[int, ...], first: int) -> Column:
+        return F.get(_list(starts), t["m"] - first) + t["d"] - 13
+
+    def small(c: int, month: int, months: int, day: int, days: int) -> Column:
+        return F.struct(F.lit(c).alias("c"), ((t["y"] * months + t["m"] - month) * days + t["d"] - day).alias("i"))
+
+    early, leap = t["m"] < 10, (t["y"] % 4 == 0) & (t["y"] > 0)
+    return (F.when(early & (t["d"] < 10), small(0, 1, 9, 1, 9)).when(t["d"] < 10, small(1, 10, 3, 1, 9))
+            .when(early & (t["d"] < 13), small(2, 1, 9, 10, 3)).when(t["d"] < 13, small(3, 10, 3, 10, 3))
+            .when(~early, F.struct(F.lit(4).alias("c"), (t["y"] * 56 + late(MONTH_STARTS[0], 10)).alias("i")))
+            .when(~leap, F.struct(F.lit(5).alias("c"), ((t["y"] - F.floor(t["y"] / 4).cast("int")) * 165 + late(MONTH_STARTS[1], 1)).alias("i")))
+            .otherwise(F.struct(F.lit(6).alias("c"), ((F.floor(t["y"] / 4).cast("int") - 1) * 166 + late(MONTH_STARTS[2], 1)).alias("i"))))
+
+
+def _placed(c: Column, i: Column) -> Column:
+    """The day with number ``i`` of a class: ``_place`` turned back."""
+    def whole(x: Column, by: int) -> Column:
+        return F.floor(x / by).cast("int")
+
+    def ymd(y: Column, month: Column, d: Column) -> Column:
+        return F.struct(y.alias("y"), month.alias("m"), d.alias("d"))
+
+    def small(month: int, months: int, day: int, days: int) -> Column:
+        return ymd(whole(i, months * days), whole(i, days) % months + month, i % days + day)
+
+    def late(starts: tuple[int, ...], first: int, per_year: int, year: Column) -> Column:
+        at = _list(starts)
+        return let(F.size(F.filter(at, lambda s: s <= i % per_year)), lambda n: ymd(year, n - 1 + first, i % per_year - F.get(at, n - 1) + 13))
+
+    common = whole(i, 165)
+    return (F.when(c == 0, small(1, 9, 1, 9)).when(c == 1, small(10, 3, 1, 9)).when(c == 2, small(1, 9, 10, 3))
+            .when(c == 3, small(10, 3, 10, 3)).when(c == 4, late(MONTH_STARTS[0], 10, 56, whole(i, 56)))
+            .when(c == 5, late(MONTH_STARTS[1], 1, 165, F.greatest(common + whole(common - 1, 3), F.lit(0))))
+            .otherwise(late(MONTH_STARTS[2], 1, 166, (whole(i, 166) + 1) * 4)))
+
+
+def _date(m: Column, key: Column, inverse: bool) -> Column:
+    """Another day of the same class in the same spelling, so it reads the same way;
+    one day has one pseudonym whatever its spelling."""
+    def spelled(t: Column, month_first: Column) -> Column:
+        year = (t["y"] + FIRST_YEAR).cast("string")
+        first, second = (F.when(month_first, t[a]).otherwise(t[b]).cast("string") for a, b in (("m", "d"), ("d", "m")))
+        sep, at = F.regexp_extract(m, r"\D", 0), F.split(m, r"\D")
+        def padded(part: Column, i: int) -> Column:
+            return F.lpad(part, F.length(F.get(at, F.lit(i))), F.lit("0"))
+
+        return F.when(m.rlike(r"^\d{4}"), F.concat(year, sep, padded(first, 1), sep, padded(second, 2))).otherwise(
+            F.concat(padded(first, 0), sep, padded(second, 1), sep, year))
 
-    found = (F.when(m.rlike(r"^\d{4}-"), days("yyyy-MM-dd")).when(m.rlike(r"^\d{4}/"), days("yyyy/MM/dd"))
-             .when(m.contains("."), days("d.M.yyyy")).otherwise(F.coalesce(days("M/d/yyyy"), days("d/M/yyyy"))))
-    return let(found, lambda d: F.when((d >= 0) & (d < DATE_RADICES[0] * DATE_RADICES[1]), d))
+    radices = F.array(*[_list(r).cast("array<bigint>") for r in DATE_RADICES])
 
+    def permuted(p: Column) -> Column:
+        return let(F.get(radices, p["c"]), lambda r: let(
+            _feistel(_numbers(F.floor(p["i"] / F.get(r, F.lit(1))), p["i"] % F.get(r, F.lit(1))), r, F.concat_ws("|", key, p["c"].cast("string")), inverse),
+            lambda v: _placed(p["c"], (F.get(v, F.lit(0)) * F.get(r, F.lit(1)) + F.get(v, F.lit(1))).cast("int"))))
 
-def _date_like(day: Column, m: Column) -> Column:
-    date = F.date_add(F.lit(FIRST_DAY).cast("date"), day)
-    short = m.rlike(r"(^|[./])\d[./]")
-    month_first = F.try_to_timestamp(m, F.lit("M/d/yyyy")).isNotNull()
-    return (F.when(m.rlike(r"^\d{4}-"), F.date_format(date, "yyyy-MM-dd")).when(m.rlike(r"^\d{4}/"), F.date_format(date, "yyyy/MM/dd"))
-            .when(m.contains("."), F.when(short, F.date_format(date, "d.M.yyyy")).otherwise(F.date_format(date, "dd.MM.yyyy")))
-            .when(month_first, F.when(short, F.date_format(date, "M/d/yyyy")).otherwise(F.date_format(date, "MM/dd/yyyy")))
-            .otherwise(F.when(short, F.date_format(date, "d/M/yyyy")).otherwise(F.date_format(date, "dd/MM/yyyy"))))
+    return let(_day(m), lambda t: let(let(_place(t), permuted), lambda new: spelled(new, t["month_first"])))
 
 
 def kind_of(m: Column) -> Column:
@@ -144,7 +213,7 @@ def kind_of(m: Column) -> Column:
     octets = F.transform(F.split(m, r"\."), lambda x: x.cast("int"))
     valid_ssn = ~m.rlike(r"^(000|666|9\d\d)|-00-|-0000$")
     return (F.when(m.rlike(whole["email"]), F.lit("email"))
-            .when(m.rlike(whole["iban"]), F.when(_mod97(iban) == 1, F.lit("iban")))
+            .when(m.rlike(whole["iban"]), F.when((_mod97(iban) == 1) & F.substring(iban, 3, 2).between("02", "98"), F.lit("iban")))
             .when(m.rlike(whole["ip"]), F.when(F.array_max(octets) < 256, F.lit("ip")))
             .when(m.rlike(whole["date"]), F.when(_day(m).isNotNull(), F.lit("date")))
             .when(m.rlike(whole["ssn"]), F.when(valid_ssn, F.lit("ssn")))
@@ -209,11 +278,8 @@ def pseudonym(m: Column, kind: Column, secret: str, inverse: bool = False) -> Co
 
     ip = let(_feistel(F.transform(F.split(m, r"\."), lambda x: x.cast("bigint")), F.array(*[F.lit(256).cast("bigint")] * 4), key("ip"), inverse),
              lambda v: F.array_join(v.cast("array<string>"), "."))
-    big, small = DATE_RADICES
-    date = let(_feistel(let(_day(m), lambda d: _numbers(F.floor(d / small), d % small)), _numbers(F.lit(big), F.lit(small)), key("date"), inverse),
-               lambda v: _date_like((F.get(v, F.lit(0)) * small + F.get(v, F.lit(1))).cast("int"), m))
     return (F.when(kind == "email", _email(m, key("email"), inverse)).when(kind == "iban", _iban(m, key("iban"), inverse))
-            .when(kind == "ip", ip).when(kind == "date", date).when(kind == "ssn", _ssn(m, key("ssn"), inverse))
+            .when(kind == "ip", ip).when(kind == "date", _date(m, key("date"), inverse)).when(kind == "ssn", _ssn(m, key("ssn"), inverse))
             .when(kind == "phone", _phone(m, key("phone"), inverse)).when(kind == "card", _card(m, key("card"), inverse)).otherwise(m))
 
 

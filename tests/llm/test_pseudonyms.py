@@ -1,6 +1,8 @@
 import datetime
 import re
 
+from pyspark.sql import functions as F
+
 from fennec.llm import pseudonyms as P
 from fennec.llm.queries import QUERIES
 
@@ -62,6 +64,46 @@ def test_a_permutation_on_small_domains(spark):
         assert len(set(got)) == len(values) and all(len(a) == len(b) for a, b in zip(got, values))
 
 
+def spellings(d):
+    """Every spelling of a day: padded or not, month or day first."""
+    yield f"{d:%Y-%m-%d}"
+    yield f"{d:%Y/%m/%d}"
+    for day in {str(d.day), f"{d:%d}"}:
+        for month in {str(d.month), f"{d:%m}"}:
+            yield f"{day}.{month}.{d.year}"
+            yield f"{month}/{day}/{d.year}"
+            if d.day > 12:
+                yield f"{day}/{month}/{d.year}"
+
+
+def read(text):
+    a, b, c = map(int, re.split(r"\D", text))
+    if a > 31:
+        return datetime.date(a, b, c)
+    return datetime.date(c, b, a) if "." in text or a > 12 else datetime.date(c, a, b)
+
+
+def test_all_days_in_all_spellings(spark):
+    first = datetime.date(P.FIRST_YEAR, 1, 1)
+    days = [first + datetime.timedelta(i) for i in range((datetime.date(P.FIRST_YEAR + P.YEARS, 1, 1) - first).days)]
+    assert sum(a * b for a, b in P.DATE_RADICES) == len(days)
+    rows = [(s,) for i, d in enumerate(days) for s in (spellings(d) if i % 4 == 0 else [f"{d}"])]
+    df = spark.createDataFrame(rows, "m string").repartition(8)
+    once = df.withColumn("new", P.pseudonym(F.col("m"), P.kind_of(F.col("m")), "secret"))
+    got = once.withColumn("back", P.pseudonym(F.col("new"), P.kind_of(F.col("new")), "secret", True)).collect()
+    assert all(r.back == r.m for r in got)
+    assert len({r.new for r in got}) == len(rows)
+    iso = {r.m: r.new for r in got if r.m[4] == "-"}
+    assert set(iso.values()) == {f"{d}" for d in days}
+    assert all(f"{read(r.new)}" == iso[f"{read(r.m)}"] for r in got)  # a day has one pseudonym, in any spelling
+    assert all(re.sub(r"\d", "0", r.m) == re.sub(r"\d", "0", r.new) for r in got)
+
+
+def test_no_other_dates(spark):
+    bad = ["1899-12-31", "2100-01-01", "1900-02-29", "2021-02-29", "30.2.2020", "0/5/2020", "13/13/2020", "1.13.2020", "2020-00-10"]
+    assert [r.text for r in run(spark, bad)] == bad
+
+
 def test_whole_table_and_odd_rows(spark, odd_docs, no_docs):
     sf = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in QUERIES["op5_pseudonyms"](spark, sf).collect()}
