@@ -15,36 +15,35 @@ from .regex import WORD_CHARS
 # Word tokens of two or more word characters (the default token rule).
 TOKEN_PATTERN = f"[{WORD_CHARS}]{{2,}}"
 
-# Code point ranges covered by the folding tables: the Basic Multilingual
-# Plane without surrogates and private use.  Hangul syllables (which NFKD
-# splits into several jamo) are left whole: a documented narrowing.
-_FOLD_RANGES = ((0x80, 0xAC00), (0xD7A4, 0xD800), (0xF900, 0x10000))
+# Hangul syllables (AC00-D7A3) are 19 leads x 21 vowels x 28 tails (the first one
+# empty) in code point order: they are split by arithmetic, all other folds by table.
+_HANGUL = (0xAC00, 0xD7A4)
+_HANGUL_PATTERN = "[\uac00-\ud7a3]"
+_LEAD, _VOWEL, _TAIL, _VOWELS, _TAILS = 0x1100, 0x1161, 0x11A7, 21, 28
 
 
 @functools.lru_cache(maxsize=1)
 def fold_tables() -> tuple[str, str, str, dict[str, str]]:
     """``(single_from, single_to, drop, multi)`` for NFKD folding without
     combining marks, built from the Unicode database by rule: characters
-    folding to one character, combining marks (deleted), and characters
-    folding to several characters (ligatures, fractions, digraphs)."""
+    folding to one character, characters of combining marks alone (deleted), and
+    characters folding to several characters (ligatures, fractions, digraphs)."""
     src: list[str] = []
     dst: list[str] = []
     drop: list[str] = []
     multi: dict[str, str] = {}
-    for lo, hi in _FOLD_RANGES:
-        for cp in range(lo, hi):
-            ch = chr(cp)
-            if unicodedata.category(ch) in ("Cs", "Cn", "Co"):
-                continue
-            if unicodedata.combining(ch):
-                drop.append(ch)
-                continue
-            folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-            if folded != ch and len(folded) == 1:
-                src.append(ch)
-                dst.append(folded)
-            elif len(folded) > 1:
-                multi[ch] = folded
+    for cp in range(0x80, 0x110000):
+        ch = chr(cp)
+        if _HANGUL[0] <= cp < _HANGUL[1] or unicodedata.category(ch) in ("Cs", "Cn", "Co"):
+            continue
+        folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        if not folded:
+            drop.append(ch)
+        elif folded != ch and len(folded) == 1:
+            src.append(ch)
+            dst.append(folded)
+        elif len(folded) > 1:
+            multi[ch] = folded
     return "".join(src), "".join(dst), "".join(drop), multi
 
 
@@ -86,11 +85,27 @@ def choose_fold(original: Column, fast: Column) -> Column:
     return F.when(F.instr(fast, _SENTINEL) > 0, fold_slow(original)).otherwise(fast)
 
 
+def split_hangul(c: Column) -> Column:
+    """Hangul syllables as their two or three letters; only texts that hold some
+    are taken apart."""
+    def letters(first: int, n: int) -> Column:
+        return F.lit("".join(chr(first + i) for i in range(n)))
+
+    def one(ch: Column) -> Column:
+        i = F.ascii(ch) - _HANGUL[0]
+        lead = F.substr(letters(_LEAD, 19), F.floor(i / (_VOWELS * _TAILS)).cast("int") + 1, F.lit(1))
+        vowel = F.substr(letters(_VOWEL, _VOWELS), F.floor(i / _TAILS).cast("int") % _VOWELS + 1, F.lit(1))
+        tail = F.when(i % _TAILS > 0, F.substr(letters(_TAIL, _TAILS), i % _TAILS + 1, F.lit(1))).otherwise("")
+        return F.when(ch.rlike(_HANGUL_PATTERN), F.concat(lead, vowel, tail)).otherwise(ch)
+
+    return F.when(c.rlike(_HANGUL_PATTERN), F.array_join(F.transform(F.split(c, ""), one), "")).otherwise(c)
+
+
 def fold_accents(c: Column) -> Column:
     """NFKD fold without combining marks as one expression.  Where it runs
     over large texts, project ``fold_fast`` as its own column first and then
     ``choose_fold`` (``fold_text_frame``) so the translate runs once."""
-    return choose_fold(c, fold_fast(c))
+    return split_hangul(choose_fold(c, fold_fast(c)))
 
 
 def fold_text_frame(df: DataFrame, text: Column, keep: list[Column], out: str = "_t", lowercase: bool = True) -> DataFrame:
@@ -102,7 +117,8 @@ def fold_text_frame(df: DataFrame, text: Column, keep: list[Column], out: str =
     staged = df.select(*keep, low.alias("_low"))
     names = [k for k in staged.columns if k != "_low"]
     staged = staged.select(*names, "_low", fold_fast(F.col("_low")).alias("_fast"))
-    return staged.select(*names, choose_fold(F.col("_low"), F.col("_fast")).alias(out))
+    staged = staged.select(*names, choose_fold(F.col("_low"), F.col("_fast")).alias("_folded"))
+    return staged.select(*names, split_hangul(F.col("_folded")).alias(out))
 
 
 @functools.lru_cache(maxsize=1)

@@ -704,6 +704,46 @@ def q_csv_roundtrip(spark, sf):
     return back.select("sample_id", "catalog_content", "image_link", r6("price").alias("price"))
 
 
+def shuffled_products(spark, sf) -> DataFrame:
+    """The catalog as product CSV in the order of a hash of its keys, read back
+    by ranges with the place of each row."""
+    from ..session import scratch_path
+    from ..sources.files import read_products, write_products
+
+    path = scratch_path(spark, "shuffled_csv")
+    write_products(catalog(spark, sf).orderBy(F.md5(F.col("sample_id").cast("string")), "sample_id"), path)
+    return read_products(spark, path, position="row_pos", splittable=True)
+
+
+@register("csv_record_places", lambda: _with(CAT) + """
+SELECT sample_id, catalog_content, image_link, round(price, 6) AS price,
+       row_number() OVER (ORDER BY md5(CAST(sample_id AS VARCHAR)), sample_id) - 1 AS row_pos FROM catalog""")
+def q_csv_record_places(spark, sf):
+    back = shuffled_products(spark, sf)
+    return back.select("sample_id", "catalog_content", "image_link", r6("price").alias("price"), "row_pos")
+
+
+@register("contract_order", lambda: PRED_SQL + """
+SELECT written, n AS n_in, n AS n_out, n AS n_out_keys, CAST(0 AS BIGINT) AS n_null_values, CAST(0 AS BIGINT) AS n_missing_keys,
+       CAST(0 AS BIGINT) AS n_extra_keys, CAST(CASE written WHEN 'in order' THEN 0 ELSE n - n % 2 END AS BIGINT) AS n_out_of_order
+FROM (SELECT count(*) AS n FROM pr), (VALUES ('in order'), ('backwards')) AS w(written)""")
+def q_contract_order(spark, sf):
+    """Predictions written in the order of the input, and backwards; both files
+    read back and held against the input place by place."""
+    from ..session import scratch_path
+    from ..sources.files import read_predictions, write_predictions
+
+    inputs = shuffled_products(spark, sf).select("sample_id", "row_pos")
+    scored = catalog_predictions(spark, sf).join(inputs, "sample_id")
+    reports = []
+    for name, order in (("in order", F.col("row_pos")), ("backwards", -F.col("row_pos"))):
+        path = scratch_path(spark, "ordered_csv")
+        write_predictions(scored.withColumn("place", order), path, order="place")
+        back = read_predictions(spark, path)
+        reports.append(V.contract_report(inputs, back, position="row_pos").withColumn("written", F.lit(name)))
+    return reports[0].unionByName(reports[1])
+
+
 # --- P1: the whole variant A feature frame ------------------------------------------------------
 
 _FLAG_COLS = [f"has_{k}" for k in PREMIUM_KEYWORDS] + [f"cat_{k}" for k in CATEGORIES]

@@ -182,6 +182,22 @@ def test_accent_folding_matches_nfkd_rule(spark):
     assert one == staged == [rule(t) for t in texts]
 
 
+def test_accent_folding_of_every_code_point(spark):
+    import unicodedata
+
+    from fennec.functions.text import fold_accents
+
+    def rule(t):
+        return "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+
+    # eight code points a row, each between letters; and words of several syllables
+    assigned = [chr(c) for c in range(1, 0x110000) if unicodedata.category(chr(c)) not in ("Cs", "Cn", "Co")]
+    texts = ["x" + "x".join(assigned[i:i + 8]) for i in range(0, len(assigned), 8)] + ["한글 테스트 각", "𝐀𝐁 ﬃ 한½", "𝕏é한"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").repartition(8).select("t", fold_accents(F.col("t")).alias("f")).collect()
+    wrong = [(r.t, r.f, rule(r.t)) for r in got if r.f != rule(r.t)]
+    assert len(assigned) > 140_000 and not wrong, wrong[:5]
+
+
 def test_numeric_missing_spellings_are_null(spark, tmp_path):
     from fennec.sources.files import read_products
 
