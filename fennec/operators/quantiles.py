@@ -196,6 +196,110 @@ def group_median(df: DataFrame, value: str, keys: list[str], out: str, mode: str
     return exact_median(df, value, keys, out, write_input=write_input)
 
 
+def complement_medians(
+    df: DataFrame,
+    value: str,
+    fold: str,
+    keys: list[str],
+    n_folds: int,
+    bins: int | None = None,
+    small: int | None = None,
+    out: str = "median",
+) -> DataFrame:
+    """``(keys..., h, out)``: the exact median of a group's values outside fold
+    ``h``, for every ``h`` of ``0 .. n_folds - 1`` that leaves a value (NULL and
+    NaN are skipped).  ``df`` is a scan of a written table.
+
+    No row is copied to the folds it does not belong to.  A group of at most
+    ``small`` values is sorted once and every complement picks its middle from
+    it; in a larger one a histogram counts each bucket by fold, and the rank of
+    a complement is looked for in all folds' counts less those of ``h``.
+    """
+    bins = DEFAULT_BINS if bins is None else bins
+    small = DEFAULT_SMALL if small is None else small
+    vals = df.select(*keys, F.col(fold).cast("int").alias("_f"), F.col(value).cast("double").alias("_v"))
+    vals = vals.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    by_fold = _fold_counts("_f", n_folds)
+    sizes = vals.groupBy(*keys).agg(F.count("_v").alias("_n"), F.min("_v").alias("_a"), F.max("_v").alias("_b"), by_fold.alias("_nf"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= small:
+        return _sorted_complements(vals, keys, n_folds, out)
+    big = _cut(sizes.where(F.col("_n") > F.lit(small)))
+    n_big = big.count()
+    names = big.select(*keys)
+    rest = join_dim(vals, names, keys, "left_anti", known_rows=n_big)
+    hot = join_dim(vals, names, keys, "left_semi", known_rows=n_big)
+    return _sorted_complements(rest, keys, n_folds, out).unionByName(_refine_complements(hot, big, keys, n_folds, bins, small, out))
+
+
+def _fold_counts(fold: str, n_folds: int) -> Column:
+    return F.array(*[F.count_if(F.col(fold) == f) for f in range(n_folds)])
+
+
+def _middle(lo: Column, hi: Column) -> Column:
+    return F.when(lo == hi, lo).otherwise(0.5 * lo + 0.5 * hi)
+
+
+def _sorted_complements(vals: DataFrame, keys: list[str], n_folds: int, out: str) -> DataFrame:
+    """Groups of bounded size: one sorted array a group, filtered for each fold."""
+    lists = vals.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_v", "_f"))).alias("_s"))
+    rest = F.transform(F.sequence(F.lit(0), F.lit(n_folds - 1)), lambda h: F.struct(
+        h.alias("h"), F.filter("_s", lambda x: x["_f"] != h).alias("s")))
+    each = lists.select(*keys, F.explode(rest).alias("_e")).select(*keys, "_e.h", F.col("_e.s").alias("_s")).where(F.size("_s") > 0)
+    n = F.size("_s")
+    at = lambda i: F.get("_s", i.cast("int"))["_v"]
+    return each.select(*keys, "h", _middle(at(F.floor((n - 1) / 2)), at(F.floor(n / 2))).alias(out))
+
+
+def _refine_complements(vals: DataFrame, base: DataFrame, keys: list[str], n_folds: int, bins: int, small: int, out: str) -> DataFrame:
+    """Histogram refinement, one histogram an interval for all complements whose
+    rank lies in it.  An interval's ends are values of any fold."""
+    folds = range(n_folds)
+    wide = base.select(*keys, "_n", "_a", "_b", F.posexplode("_nf").alias("h", "_own"))
+    left = F.col("_n") - F.col("_own")
+    # the two middle ranks, counted from 0, among the values outside h
+    targets = _cut(wide.where(left > 0).select(*keys, "h", "_a", "_b", F.floor((left - 1) / 2).alias("_lo"), F.floor(left / 2).alias("_hi")))
+    cells = _cut(targets.select(*keys, "h", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("__rank"), F.col("_a").alias("__a"),
+                                F.col("_b").alias("__b")).select("*", F.lit(0).cast("long").alias("__off"), F.when(
+                                    F.col("__a") == F.col("__b"), F.col("__a")).alias("__res"), F.lit(False).alias("__final")))
+    while True:
+        active = cells.where(F.col("__res").isNull() & ~F.col("__final"))
+        intervals = _cut(active.select(*keys, "__a", "__b").distinct())
+        n_int = intervals.count()
+        if n_int == 0:
+            break
+        inside = join_dim(vals, intervals, keys, "inner", known_rows=n_int).where((F.col("_v") >= F.col("__a")) & (F.col("_v") <= F.col("__b")))
+        hist = inside.groupBy(*keys, "__a", "__b", _bucket(F.col("_v"), F.col("__a"), F.col("__b"), bins).alias("_bk")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"), _fold_counts("_f", n_folds).alias("_cf"))
+        w = Window.partitionBy(*keys, "__a", "__b").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+        before = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0))
+        hist = hist.withColumn("_below", before(F.col("_c"))).withColumn("_bf", F.array(*[before(F.col("_cf")[f]) for f in folds]))
+        rank, below = F.col("__rank") - F.col("__off"), F.col("_below") - F.get("_bf", F.col("h"))
+        found = active.join(hist, keys + ["__a", "__b"]).where((rank >= below) & (rank < below + F.col("_c") - F.get("_cf", F.col("h"))))
+        step = found.select(
+            *keys, "h", "__rank", F.col("_bmin").alias("__a"), F.col("_bmax").alias("__b"), (F.col("__off") + below).alias("__off"),
+            F.when(F.col("_bmin") == F.col("_bmax"), F.col("_bmin")).alias("__res"),
+            ((F.col("_bmin") != F.col("_bmax")) & (F.col("_c") <= F.lit(small))).alias("__final"))
+        cells = _cut(cells.where(F.col("__res").isNotNull() | F.col("__final")).unionByName(step))
+
+    fin = cells.where(F.col("__res").isNull() & F.col("__final"))
+    fin_int = fin.select(*keys, "__a", "__b").distinct()
+    n_fin = fin_int.count()
+    resolved = cells.where(F.col("__res").isNotNull()).select(*keys, "h", "__rank", "__res")
+    if n_fin:
+        picked = (
+            join_dim(vals, fin_int, keys, "inner", known_rows=n_fin)
+            .where((F.col("_v") >= F.col("__a")) & (F.col("_v") <= F.col("__b")))
+            .groupBy(*keys, "__a", "__b").agg(F.array_sort(F.collect_list(F.struct("_v", "_f"))).alias("_s"))
+        )
+        others = F.filter("_s", lambda x: x["_f"] != F.col("h"))
+        resolved = resolved.unionByName(fin.join(picked, keys + ["__a", "__b"]).select(
+            *keys, "h", "__rank", F.get(others, (F.col("__rank") - F.col("__off")).cast("int"))["_v"].alias("__res")))
+    lo = resolved.select(*keys, "h", F.col("__rank").alias("_lo"), F.col("__res").alias("_vlo"))
+    hi = resolved.select(*keys, "h", F.col("__rank").alias("_hi"), F.col("__res").alias("_vhi"))
+    t = targets.join(lo, [*keys, "h", "_lo"]).join(hi, [*keys, "h", "_hi"])
+    return t.select(*keys, "h", _middle(F.col("_vlo"), F.col("_vhi")).alias(out))
+
+
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], mode: str | None = None,
                      written_input: bool = False) -> dict[str, list | None]:
     """Exact quantiles of several columns of one frame, as driver-side

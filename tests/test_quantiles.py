@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fennec.operators.quantiles import column_quantiles, exact_quantiles
+from fennec.operators.quantiles import column_quantiles, complement_medians, exact_quantiles
 
 PROBS = [0.1, 0.25, 0.5, 0.75, 0.9]
 
@@ -84,3 +84,50 @@ def test_values_are_not_shuffled_by_key(spark):
     assert "strategy=broadcast" in plan
     want = {r[0]: r[1] for r in li.groupBy("l_returnflag").agg(F.median("l_extendedprice")).collect()}
     assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("small,bins", [(50_000, 4096), (100, 64), (3, 8)])
+def test_complements_match_statistics_of_copied_rows(skewed, small, bins):
+    from fennec.operators.target_encoding import complement_moments
+
+    df = skewed.withColumn("f", F.when(F.col("k") == "one", 2).otherwise(F.pmod(F.xxhash64("v", F.monotonically_increasing_id()), F.lit(4)))).cache()
+    copied = df.withColumn("h", F.explode(F.array_remove(F.sequence(F.lit(0), F.lit(3)), F.col("f").cast("int"))))
+    ref = {(r.k, r.h): r for r in copied.groupBy("k", "h").agg(
+        F.median("v").alias("median"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.count("v").alias("cnt")).collect()}
+    got = {(r.k, r.h): r["median"] for r in complement_medians(df, "v", "f", ["k"], 4, bins=bins, small=small).collect()}
+    assert got == pytest.approx({x: r["median"] for x, r in ref.items() if r["median"] is not None}, rel=1e-12)
+    assert ("one", 2) not in got and ("one", 0) in got
+    moments = {(r.k, r.h): r for r in complement_moments(df, "v", "f", ["k"], 4).collect()}
+    assert set(moments) == set(ref)
+    for x, r in ref.items():
+        assert moments[x].cnt == r.cnt
+        for name in ("mean", "std"):
+            assert moments[x][name] == (None if r[name] is None else pytest.approx(r[name], rel=1e-9, abs=1e-12)), (x, name)
+
+
+@pytest.mark.parametrize("bins", [4, 4096])
+def test_complements_of_infinities_and_wide_ranges(spark, bins):
+    inf = float("inf")
+    values = [s * 10.0 ** k for k in range(-300, 300, 9) for s in (1, -1)] + [0.0] * 9 + [inf] * 30 + [-inf] * 20 + [5e-324, 1.0 + 2**-52]
+    df = spark.createDataFrame([("a", i * 7 % 3, v) for i, v in enumerate(values)], "k string, f int, v double")
+    got = {r.h: r["median"] for r in complement_medians(df, "v", "f", ["k"], 3, bins=bins, small=2).collect()}
+    want = {h: df.where(F.col("f") != h).agg(F.median("v")).first()[0] for h in range(3)}
+    assert got == pytest.approx(want, rel=1e-12)
+
+
+def test_out_of_fold_rows_are_not_copied(spark):
+    from fennec.operators.target_encoding import KFoldTargetEncoder
+    from fennec.operators import target_encoding as T
+
+    seen = []
+    old = T.fitted_table
+    T.fitted_table = lambda df, name: seen.append(df) or old(df, name)
+    try:
+        rows = [(i, f"u{i % 3}", "b", i % 2, float(i % 97)) for i in range(2000)]
+        KFoldTargetEncoder().oof_stats(spark.createDataFrame(rows, "sample_id int, unit string, brand string, pack_qty int, price double"))
+    finally:
+        T.fitted_table = old
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    # explodes stand above the aggregates only: each line of the scan side is a relation, a projection or a filter
+    depth = [line for line in plan.splitlines() if "Generate" in line or "Aggregate" in line]
+    assert any("Generate" in x for x in depth) and "Aggregate" in depth[-1]
