@@ -49,7 +49,7 @@ def test_random_texts_against_brute_force(spark):
     docs += [(None, "w1", 1, "y"), (500, None, 1, "y"), (501, "", 1, None), (3, docs[3][1], 7, "x"), (502, " ".join(vocab * 3000), 1, "z")]
     items = [x for x in items if x[0] is not None]
     check(spark, docs, items)
-    check(spark, docs, items, block_rows=20)
+    check(spark, docs, items, broadcast_rows=20)  # by a shuffle join
 
 
 def test_empty_tables(spark, odd_docs, no_docs):
@@ -77,3 +77,17 @@ def test_runs_without_python(spark):
     df = QUERIES["op2_decontamination"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_texts_are_read_twice_whatever_the_item_lengths(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    items = spark.createDataFrame([(n, " ".join(f"w{i}" for i in range(n))) for n in range(1, 16)], "item_id bigint, text string")
+    for rows, join in ((1000, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            df = W.contamination(docs, items, broadcast_rows=rows)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        assert len(re.findall(r"FileScan parquet \[[^\]]*text", plan)) == 2 and join in plan
