@@ -68,8 +68,13 @@ def fill_with_frame_median(df: DataFrame, cols: list[str], quantiles: str | None
     present = [c for c in cols if c in df.columns]
     if not present:
         return df
-    med = column_medians(df, present, quantiles, written_input)
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double")) if med[c] is not None else F.col(c) for c in present})
+    return fill_with(df, column_medians(df, present, quantiles, written_input), present)
+
+
+def fill_with(df: DataFrame, medians: dict[str, float | None], cols: list[str]) -> DataFrame:
+    """NULL -> the given median of the column; columns without one stay."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c]).cast("double")) for c in cols
+                           if c in df.columns and medians.get(c) is not None})
 
 
 def stats_names(key: str) -> tuple[str, str, str, str]:

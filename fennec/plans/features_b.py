@@ -17,7 +17,7 @@ from ..functions.numeric import ieee_divide
 from ..operators.assemble import align_columns, clean_median
 from ..operators.label_encoder import LabelEncoder, LabelEncoderModel
 from ..operators.quantiles import column_medians
-from ..operators.stats import GroupStatsEncoder, GroupStatsModel
+from ..operators.stats import GroupStatsEncoder, GroupStatsModel, fill_with, stats_names
 from ..operators.tfidf import TfidfModel, TfidfVectorizer
 from ..sources.files import materialize
 
@@ -31,8 +31,8 @@ BASE_FEATURES = [
 ]
 
 
-def extract_catalog_features(df: DataFrame, text_col: str = "catalog_content") -> DataFrame:
-    """E2, E3, E5, E8, T1-T3, E7 and N2 (median of *this* frame)."""
+def extract_catalog_features(df: DataFrame, text_col: str = "catalog_content", medians: dict[str, float] | None = None) -> DataFrame:
+    """E2, E3, E5, E8, T1-T3, E7 and N2 (median of *this* frame, unless ``medians`` are given)."""
     c = F.col(text_col)
     out = df.withColumns({"value": X.value(c), "unit": X.unit_raw(c), "item_name": X.item_name(c)})
     name = F.col("item_name")
@@ -45,7 +45,7 @@ def extract_catalog_features(df: DataFrame, text_col: str = "catalog_content") -
             "pack_quantity": X.pack_quantity(c, "B"),
         }
     )
-    med = column_medians(out, ["value"])["value"]
+    med = column_medians(out, ["value"])["value"] if medians is None else medians.get("value")
     return out.withColumn("value_filled", F.coalesce(F.col("value"), F.lit(med).cast("double")))
 
 
@@ -91,12 +91,17 @@ class ProductFeatureExtractor:
         self.fitted = True
         return out
 
-    def transform(self, df: DataFrame, use_tfidf: bool = True) -> DataFrame:
-        """Apply the fitted state (stats lookups, codes, vocabulary)."""
+    def transform(self, df: DataFrame, use_tfidf: bool = True, medians: dict[str, float] | None = None) -> DataFrame:
+        """Apply the fitted state (stats lookups, codes, vocabulary).
+
+        What is missing gets the median of this frame or, where ``df`` is a part
+        of a larger input, the given ``medians`` of the columns of ``median_inputs``."""
         if not self.fitted:
             raise ValueError("transform needs fitted state; call fit_transform before it")
-        base = extract_catalog_features(df, self.text_col)
-        out = create_ratio_features(self.stats.transform(base))
+        base = extract_catalog_features(df, self.text_col, medians)
+        out = create_ratio_features(self.stats.transform(base, fill=medians is None))
+        if medians is not None:
+            out = fill_with(out, medians, BASE_FEATURES)
         out = self.labels.transform(out)
         if use_tfidf:
             if self.tfidf is None:
@@ -104,6 +109,13 @@ class ProductFeatureExtractor:
             out, _ = self.tfidf.transform_columns(out, self.key, "item_name", prefix="tfidf_")
         return out
 
+    def median_inputs(self, df: DataFrame) -> DataFrame:
+        """The columns whose medians ``transform`` needs, nothing filled: the parsed
+        ``value`` and the joined statistics."""
+        base = extract_catalog_features(df, self.text_col, medians={})
+        out = self.stats.transform(base, fill=False)
+        return out.select("value", *[n for k in self.stats.keys for n in stats_names(k)])
+
     def get_feature_names(self, use_tfidf: bool = True) -> list[str]:
         """P9."""
         names = list(BASE_FEATURES)
