@@ -45,7 +45,11 @@ def extract_catalog_features(df: DataFrame, text_col: str = "catalog_content", m
             "pack_quantity": X.pack_quantity(c, "B"),
         }
     )
-    med = column_medians(out, ["value"])["value"] if medians is None else medians.get("value")
+    if medians is None:
+        out = materialize(out, "extracted")  # the median's rounds and all that follows read it
+        med = column_medians(out, ["value"], written_input=True)["value"]
+    else:
+        med = medians.get("value")
     return out.withColumn("value_filled", F.coalesce(F.col("value"), F.lit(med).cast("double")))
 
 
@@ -73,9 +77,9 @@ class ProductFeatureExtractor:
     def fit_transform(self, df: DataFrame, target_col: str = "price", use_tfidf: bool = True, max_tfidf_features: int = 100) -> DataFrame:
         """Fit every piece of state on ``df`` and return its features.
 
-        The extracted frame is written once; statistics, medians, codes and
+        The extracted frame is written (in ``extract_catalog_features``); statistics, medians, codes and
         the vocabulary all read the files instead of extracting again."""
-        base = materialize(extract_catalog_features(df, self.text_col), "extracted")
+        base = extract_catalog_features(df, self.text_col)
         self.stats = GroupStatsEncoder(("unit", "brand"), target_col).fit(base)
         out = create_ratio_features(self.stats.transform(base))
         self.labels = LabelEncoder(("unit", "brand")).fit(out)
