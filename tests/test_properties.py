@@ -151,6 +151,41 @@ def test_tfidf_pruning_is_exact(spark, monkeypatch):
         assert pruned == full
 
 
+def test_tfidf_pruning_with_frequent_tokens_that_are_not_eligible(spark, monkeypatch):
+    """The most frequent tokens occur in one document alone (and tie), so that
+    more of them must be tried until enough are eligible; letters outside the
+    basic plane stay whole."""
+    from fennec.operators import tfidf as T
+
+    rare = " ".join(f"rare{i}" for i in range(60))
+    texts = [" ".join([rare] * 9)] + [f"\U00010330\U00010331 \U00010332\U00010333 walks home{i % 4} by road{i % 5}" for i in range(8)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    v = T.TfidfVectorizer(max_features=12, ngram_range=(1, 3), min_df=3, max_df=1.0, strip_accents=False)
+    n = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
+    assert v._pruned_stats(v.token_frame(docs, "doc_id", "text"), n) is not None
+    pruned = v.fit(docs, "doc_id", "text")
+    with monkeypatch.context() as m:
+        m.setattr(T.TfidfVectorizer, "_pruned_stats", lambda self, toks, n: None)
+        full = v.fit(docs, "doc_id", "text")
+    assert sorted(map(tuple, pruned.vocab.collect())) == sorted(map(tuple, full.vocab.collect()))
+    assert "\U00010330\U00010331 \U00010332\U00010333 walks" in {r["term"] for r in pruned.vocab.collect()}
+    written = v.written_tokens(docs, "doc_id", "text")
+    assert sorted(map(tuple, v.fit(written, "doc_id", "text").vocab.collect())) == sorted(map(tuple, full.vocab.collect()))
+    a, b = (sorted(map(tuple, full.transform_long(d, "doc_id", "text").collect())) for d in (docs, written))
+    assert a == b and len(a) > 8
+
+
+def test_marked_ngrams_are_the_ngrams_of_kept_tokens(spark):
+    from fennec.functions.text import marked_ngrams, marked_tokens, ngrams
+
+    rows = [([],), (["a1"],), (["a1", "b1", "c1", "a1", "b1"],), (["x1", "a1", "x1", "b1", "c1", "x1"],), (["\U00010330\U00010331", "a1", "x1", "c1", "b1", "a1"],)]
+    keep = ["a1", "b1", "c1", "\U00010330\U00010331"]
+    df = spark.createDataFrame(rows, "t array<string>").select("t", marked_tokens(F.col("t"), keep).alias("m"))
+    for r in df.select("t", *[c for n in (1, 2, 3) for c in (marked_ngrams(F.col("m"), n).alias(f"m{n}"), ngrams(F.col("t"), n).alias(f"n{n}"))]).collect():
+        for n in (1, 2, 3):
+            assert r[f"m{n}"] == [g for g in r[f"n{n}"] if set(g.split(" ")) <= set(keep)]
+
+
 def test_weight_grid_skips_null_terms(spark):
     df = spark.createDataFrame([(10.0, 9.0, 11.0, 10.0), (5.0, None, 5.0, 5.0), (8.0, 8.0, 8.0, 8.0)], "a double, p1 double, p2 double, p3 double")
     got = {(r.w1, r.w2): r.smape for r in E.weight_scores(df, "a", "p1", "p2", "p3").collect()}

@@ -87,3 +87,21 @@ def test_borders_of_many_features_without_sorting(spark):
         values = np.sort(x[~np.isnan(x[:, f]), f])
         want = np.unique([values[int(np.ceil(i / 8 * len(values))) - 1] for i in range(1, 8)]) if len(values) else np.zeros(0)
         assert np.array_equal(found[f], want[want < values[-1]] if len(values) else want)
+
+
+@pytest.mark.parametrize("name", ["tfidf_dense", "tfidf_transform"])
+def test_tfidf_texts_are_tokenized_once(spark, monkeypatch, name):
+    """The fit and the transform read the same written tokens."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(text):
+        seen.add(1)
+        return text
+
+    rows = [(i, None if i == 7 else f"red apple tree {'caf\u00e9' if i % 2 else 'bread'} number{i % 3}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text", passed.asNondeterministic()("text"))
+    monkeypatch.setattr(Q, "table", lambda spark, sf, table: docs)
+    out = Q.QUERIES[name](spark, SF).collect()
+    assert {r["doc_id"] for r in out} == set(range(20)) - ({7} if name == "tfidf_transform" else set())
+    assert seen.value == 20
